@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,34 +26,86 @@ NA_WORDS = (
 CORRUPT = "_corrupt_record"
 
 
-def csv_options(multi_line: bool = True) -> dict[str, object]:
-    # Column pruning would hide rows of the wrong length.
-    return {
-        "header": True,
-        "multiLine": multi_line,
-        "quote": '"',
-        "escape": '"',
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "enforceSchema": False,
-        "columnPruning": False,
-    }
-
-
 def normalize_missing(col: Column | str, na_words: Sequence[str] = NA_WORDS) -> Column:
     """Null where the text is one of ``na_words``, else the text."""
     text = as_column(col)
     return F.when(~text.isin(*na_words), text)
 
 
-def text_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+@dataclass(frozen=True)
+class CsvLayout:
+    """What the header tells: column names in file order, and how to read on."""
+
+    names: tuple[str, ...]
+    multi_line: bool = True
+    line_sep: str | None = None
+    regular: bool = True
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(n, T.StringType()) for n in (*self.names, CORRUPT)])
+
+    @property
+    def options(self) -> dict[str, object]:
+        """Reader options; a file whose header differs fails where the header is regular."""
+        options = {
+            **_dialect(self.multi_line),
+            "header": True,
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT,
+            "enforceSchema": not self.regular,
+            # pruned columns would hide rows of the wrong length
+            "columnPruning": False,
+        }
+        return {**options, "lineSep": self.line_sep} if self.line_sep else options
+
+    def require(self, required: Sequence[str]) -> CsvLayout:
+        missing = missing_columns(self.names, required)
+        if missing:
+            raise ValueError(f"missing required columns {missing}; needed are {list(required)}")
+        return self
+
+
+def _dialect(multi_line: bool) -> dict[str, object]:
+    return {"multiLine": multi_line, "quote": '"', "escape": '"'}
+
 
+def unique_names(raw: Sequence[str | None]) -> tuple[str, ...]:
+    """Header names made distinct: blanks numbered by place, repeats by suffix.
 
-def header_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
-    """All-text schema with the names in the header at ``path``."""
-    options = csv_options(multi_line)
-    return text_schema(spark.read.options(**options).csv(path).columns)
+    Spark compares names without case; a name that is required as written keeps
+    its form and the other one gets the suffix.
+    """
+    names: list[str | None] = [None] * len(raw)
+    taken: set[str] = set()
+    for i, name in enumerate(raw):
+        if name in REQUIRED and name not in taken:
+            names[i] = name
+            taken.add(name)
+    for i, name in enumerate(raw):
+        if names[i] is None:
+            base = name or f"Unnamed: {i}"
+            unique, repeats = base, 0
+            while unique.lower() in taken:
+                repeats += 1
+                unique = f"{base}.{repeats}"
+            names[i] = unique
+            taken.add(unique.lower())
+    return tuple(names)
+
+
+def csv_layout(spark: SparkSession, path: str, multi_line: bool = True) -> CsvLayout:
+    """Read the header at ``path``: two one-row jobs."""
+    first = spark.read.options(**_dialect(multi_line)).csv(path).first()
+    raw = tuple(first) if first else ()
+    names = unique_names(raw)
+    line_sep = None
+    if multi_line:
+        # Spark would turn CRLF inside quotes to LF unless told the separator
+        line = spark.read.option("lineSep", "\n").text(path).first()
+        if line and line[0].find("\r") == len(line[0]) - 1 >= 0:
+            line_sep = "\r\n"
+    return CsvLayout(names, multi_line, line_sep, regular=names == raw)
 
 
 def _field_count(line: Column) -> Column:
@@ -66,7 +119,12 @@ def clean_rows(df: DataFrame, na_words: Sequence[str] = NA_WORDS) -> DataFrame:
     names = [n for n in df.columns if n != CORRUPT]
     line = F.col(CORRUPT)
     too_long = F.coalesce(_field_count(line) > len(names), F.lit(False))
-    message = F.concat(F.lit(f"CSV row has more than {len(names)} fields: "), line)
+    message = F.concat(
+        F.lit(f"CSV row has more than {len(names)} fields, the first is "),
+        F.coalesce(as_column(names[0]), F.lit("empty")),
+        F.lit(": "),
+        line,
+    )
     kept = F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return df.filter(kept).select(*[normalize_missing(n, na_words).alias(n) for n in names])
 
@@ -87,12 +145,8 @@ def read_examples(
     line break.
     """
     try:
-        schema = header_schema(spark, path, multi_line)
-        names = schema.names[:-1]
-        missing = missing_columns(names, required)
-        if missing:
-            raise ValueError(f"missing required columns {missing}; needed are {list(required)}")
-        raw = spark.read.options(**csv_options(multi_line)).schema(schema).csv(path)
+        layout = csv_layout(spark, path, multi_line).require(required)
+        raw = spark.read.options(**layout.options).schema(layout.schema).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             logger.error("no such input: %s", path)

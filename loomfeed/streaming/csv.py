@@ -5,32 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from loomfeed.operators.checks import REQUIRED, missing_columns
+from loomfeed.operators.checks import REQUIRED
 from loomfeed.operators.keys import content_keys
-from loomfeed.sources.csv import NA_WORDS, clean_rows, csv_options, header_schema, text_schema
+from loomfeed.sources.csv import NA_WORDS, CsvLayout, clean_rows, csv_layout
 
 
 def stream_examples(
     spark: SparkSession,
     directory: str,
-    columns: Sequence[str] | None = None,
+    layout: CsvLayout | None = None,
     na_words: Sequence[str] = NA_WORDS,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Stream of ``(ex_id, instruction, input, output)`` keyed by content.
 
-    ``columns`` are the header names in file order; by default they are read
-    from the files already there. A file with another header fails the query.
-    No state is kept, so rows of equal content get the same key.
+    The layout of the files is read from those already in ``directory``, or
+    given, e.g. ``CsvLayout(("instruction", "input", "output"))``. A file with
+    another header fails the query. No state is kept, so rows of equal content
+    get the same key.
     """
-    schema: T.StructType = text_schema(columns) if columns else header_schema(spark, directory)
-    missing = missing_columns(schema.names, REQUIRED)
-    if missing:
-        raise ValueError(f"missing required columns {missing}; needed are {list(REQUIRED)}")
-    reader = spark.readStream.options(**csv_options()).schema(schema)
+    layout = (layout or csv_layout(spark, directory)).require(REQUIRED)
+    reader = spark.readStream.options(**layout.options).schema(layout.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return content_keys(clean_rows(reader.csv(directory), na_words).select(*REQUIRED))
