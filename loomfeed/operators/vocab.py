@@ -73,7 +73,7 @@ def _lookup_table(vocab: DataFrame, buckets: int) -> DataFrame:
     none = F.array().cast("array<struct<tok:string,id:int>>")
     placed = every.join(entries, "_b", "left").select(F.struct("_b", F.coalesce("_e", none).alias("_e")).alias("_p"))
     return placed.agg(F.array_sort(F.collect_list("_p")).alias("_all")).select(
-        F.transform("_all", lambda p: F.map_from_entries(p["_e"])).alias("_table")
+        F.transform("_all", lambda p: F.map_from_entries(p["_e"])).alias("_lookup")
     )
 
 
@@ -111,7 +111,8 @@ def _encode_shuffled(df, vocab, max_length, text, unk_id, out, key):
     grouped = grouped.select(*key, F.transform("_ids", lambda p: p["id"]).alias(out))
     # rows without a word come back here
     empty = F.array().cast("array<int>")
-    return df.join(grouped, list(key), "left").withColumn(out, F.coalesce(out, empty))
+    joined = df.join(grouped, list(key), "left")
+    return joined.select(*df.columns, F.coalesce(out, empty).alias(out))
 
 
 def encode_words(

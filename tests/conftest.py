@@ -22,3 +22,17 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+def plan_nodes(df):
+    """``(name, output)`` of each optimized plan node, those of scalar subqueries left out."""
+    found, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        found.append((node.nodeName(), node.output().mkString(" ")))
+        todo.extend(node.children().apply(i) for i in range(node.children().size()))
+    return found
+
+
+def node_names(df):
+    return {name for name, _ in plan_nodes(df)}
