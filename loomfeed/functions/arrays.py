@@ -8,24 +8,20 @@ from pyspark.sql import functions as F
 IGNORED_LABEL = -100
 
 # The whitespace that separates words.
-_SPACE = " \n\t\r"
+_SPACES = "[ \n\t\r]+"
 
 
 def words(text: Column, max_words: int | None = None) -> Column:
-    """Words of ``text`` in order; only the first ``max_words`` where given.
+    """Words of ``text`` in order, none for a missing one; only the first ``max_words`` where given.
 
-    The text is trimmed before it is split, so no empty word arises and no
-    filter is needed. With ``max_words`` the splitter stops after that many
-    words and the unsplit rest is cut off: the same array as a full split
-    followed by a slice.
+    With ``max_words`` the splitter stops once it has that many words, a possible
+    empty piece before the first one and the unsplit rest; the result is the same
+    as that of a full split followed by a slice.
     """
-    trimmed = F.trim(text, F.lit(_SPACE))
-    pattern = f"[{_SPACE}]+"
+    text = F.coalesce(text, F.lit(""))
     if max_words is None:
-        parts = F.split(trimmed, pattern)
-    else:
-        parts = F.slice(F.split(trimmed, pattern, max_words + 1), 1, max_words)
-    return F.when(trimmed != "", parts).otherwise(F.array().cast("array<string>"))
+        return F.array_remove(F.split(text, _SPACES), "")
+    return F.slice(F.array_remove(F.split(text, _SPACES, max_words + 2), ""), 1, max_words)
 
 
 def truncate(ids: Column, max_length: int) -> Column:

@@ -47,8 +47,9 @@ def split(
 
     Test rows are the first in seeded hash order. The last test row's hash is
     found by two prefix histograms and a sort of the few keys that share eight
-    hex digits; then every row compares its own hash with it. The table itself
-    is never shuffled. All copies of an example fall on the same side.
+    hex digits; then every row compares its own hash with it. The table itself is
+    never shuffled, but its keys are read several times: give a stored table.
+    All copies of an example fall on the same side.
     """
     originals = df.filter(F.col("copy_id") == 0) if "copy_id" in df.columns else df
     digest = _digest(seed, key)
@@ -76,7 +77,8 @@ def epochs(df: DataFrame, n: int = 3, seed: int = 42, key: Sequence[str] = KEY)
 
     Adds ``epoch`` (0-based) and ``position`` (dense, 0-based per epoch). Places
     are computed on the unique keys alone; other columns move once, in the join
-    back, and not once per epoch and shuffle.
+    back, and not once per epoch and shuffle. The keys are read twice: give a
+    stored table where computing it is expensive.
     """
     keys = df.select(*key).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     placed = hashed_position(keys, _digest(seed, "epoch", *key), key, "epoch", n)

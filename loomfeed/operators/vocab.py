@@ -18,6 +18,8 @@ PAD_ID, BOS_ID, EOS_ID, UNK_ID = range(4)
 # A vocabulary of up to this many bytes travels inside the plan.
 MAX_INLINE_BYTES = 32 * 1024 * 1024
 _ENTRY_OVERHEAD = 64
+# Words per bucket of the lookup table: few enough to search, enough to keep it small.
+_BUCKET_WORDS = 4
 _SALTS = 16
 
 
@@ -66,13 +68,13 @@ def _bucket(tok: Column, buckets: int) -> Column:
 
 def _lookup_table(vocab: DataFrame, buckets: int) -> DataFrame:
     """One row: an array of small word-to-id maps, placed by the word's hash."""
-    entries = vocab.groupBy(_bucket(F.col("tok"), buckets).alias("_b")).agg(
-        F.collect_list(F.struct("tok", "id")).alias("_e")
+    entries = vocab.select(_bucket(F.col("tok"), buckets).alias("_b"), F.struct("tok", "id").alias("_e"))
+    # one null entry per bucket, so that an empty bucket keeps its place
+    every = vocab.sparkSession.range(buckets).select(
+        F.col("id").cast("int").alias("_b"), F.lit(None).cast("struct<tok:string,id:int>").alias("_e")
     )
-    every = vocab.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"))
-    none = F.array().cast("array<struct<tok:string,id:int>>")
-    placed = every.join(entries, "_b", "left").select(F.struct("_b", F.coalesce("_e", none).alias("_e")).alias("_p"))
-    return placed.agg(F.array_sort(F.collect_list("_p")).alias("_all")).select(
+    placed = entries.unionByName(every).groupBy("_b").agg(F.collect_list("_e").alias("_e"))
+    return placed.agg(F.sort_array(F.collect_list(F.struct("_b", "_e"))).alias("_all")).select(
         F.transform("_all", lambda p: F.map_from_entries(p["_e"])).alias("_lookup")
     )
 
@@ -136,7 +138,7 @@ def encode_words(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("tok")), F.lit(0))
     ).first()
     if size + rows * _ENTRY_OVERHEAD <= max_inline_bytes:
-        return _encode_inline(df, vocab, max(1, rows), max_length, text, unk_id, out)
+        return _encode_inline(df, vocab, max(1, rows // _BUCKET_WORDS), max_length, text, unk_id, out)
     return _encode_shuffled(df, vocab, max_length, text, unk_id, out, key)
 
 

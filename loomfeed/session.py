@@ -49,6 +49,7 @@ def builder(app_name: str = "loomfeed") -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # prompts can be long, so Arrow batches are kept short
+        # prompts can be long, so Arrow batches are kept small
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
     )

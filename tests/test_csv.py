@@ -113,6 +113,16 @@ def test_write_examples_by_split(spark, tmp_path):
         write_examples(df, str(tmp_path / "out"))
 
 
+def test_files_per_folder(spark, tmp_path):
+    df = replicate(spark.range(200).withColumnRenamed("id", "ex_id"), 2).repartition(16)
+    df = df.withColumn("rank", (F.col("ex_id") % 3).cast("int"))
+    write_examples(df, str(tmp_path / "out"), ("rank",), files_per_folder=2)
+    for rank in range(3):
+        assert len(list((tmp_path / "out" / f"rank={rank}").glob("*.parquet"))) <= 2
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(values(back.select(*df.columns))) == sorted(values(df))
+
+
 def test_stream_equals_batch_and_takes_only_new_files(spark, tmp_path):
     source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     (tmp_path / "in").mkdir()

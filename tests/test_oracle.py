@@ -19,6 +19,9 @@ def duck():
     return con
 
 
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR"}
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(row[i] for i in order) for row in rows)
@@ -34,6 +37,8 @@ def test_query_equals_sql(spark, duck, name):
     want = duck.execute(oracle_sql()[name])
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
+    types = {c[0]: str(c[1]) for c in want.description}
+    assert {name: DUCK_TYPES[t] for name, t in got.dtypes} == types
     expected = rows_of(columns, want.fetchall())
     actual = rows_of(got.columns, [tuple(r) for r in got.collect()])
     assert sum(expected.values()) > 0
