@@ -47,11 +47,13 @@ def tokenize_batches(
         tokenizer = Tokenizer.from_str(shared.value)
         tokenizer.no_padding()
         tokenizer.enable_truncation(max_length)
+        # without offsets where the library can
+        encode_batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
         for batch in batches:
             for start in range(0, batch.num_rows, batch_rows):
                 part = batch.slice(start, batch_rows)
                 prompts = [t or "" for t in part.column(text).to_pylist()]
-                ids = [e.ids for e in tokenizer.encode_batch_fast(prompts)]
+                ids = [e.ids for e in encode_batch(prompts)]
                 offsets = np.zeros(len(ids) + 1, dtype=np.int32)
                 np.cumsum([len(i) for i in ids], out=offsets[1:])
                 flat = np.concatenate([np.asarray(i, dtype=np.int32) for i in ids])

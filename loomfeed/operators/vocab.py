@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomfeed.functions.arrays import words
 from loomfeed.functions.text import as_column
+from loomfeed.session import checkpoint
 
 # Special words, whose ids are their places in this list.
 SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
@@ -20,7 +21,8 @@ MAX_INLINE_BYTES = 32 * 1024 * 1024
 _ENTRY_OVERHEAD = 64
 # Words per bucket of the lookup table: few enough to search, enough to keep it small.
 _BUCKET_WORDS = 4
-_SALTS = 16
+# At most this many words can each make up 1/FREQUENT_WORDS of a text.
+FREQUENT_WORDS = 100_000
 
 
 def build_vocab(
@@ -79,42 +81,65 @@ def _lookup_table(vocab: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def _encode_inline(df, vocab, buckets, max_length, text, unk_id, out):
-    """Look every word up in one constant table.
+def _looked_up(df, table_words, buckets, words_col, out, cell):
+    """Apply ``cell(word, place, id or null)`` to every word, ids from a constant table.
 
-    Words, table and ids are three projections whose columns are each used once,
-    so the optimizer merges them and the table becomes a constant inside the
-    lookup. It must not stay a column: every row would carry a copy.
+    Words, table and result are three projections whose columns are each used
+    once, so the optimizer merges them and the table becomes a constant inside
+    the lookup. It must not stay a column: every row would carry a copy.
     """
-    found = F.transform(
+    result = F.transform(
         "_words",
-        lambda tok: F.coalesce(
-            F.try_element_at(F.get(F.col("_table"), _bucket(tok, buckets)), tok), F.lit(unk_id)
-        ),
+        lambda tok, at: cell(tok, at, F.try_element_at(F.get(F.col("_table"), _bucket(tok, buckets)), tok)),
     )
     return (
-        df.withColumn("_words", words(as_column(text), max_length))
-        .withColumn("_table", _lookup_table(vocab, buckets).scalar())
-        .withColumn(out, found)
+        df.withColumn("_words", words_col)
+        .withColumn("_table", _lookup_table(table_words, buckets).scalar())
+        .withColumn(out, result)
         .drop("_words", "_table")
     )
 
 
-def _encode_shuffled(df, vocab, max_length, text, unk_id, out, key):
-    """Join on (word, salt), so that a frequent word spreads over several tasks."""
-    tokens = df.select(*key, F.posexplode(words(as_column(text), max_length)).alias("_pos", "tok"))
-    tokens = tokens.withColumn("_salt", F.pmod(F.hash(*key, "_pos"), F.lit(_SALTS)))
-    salted = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    found = tokens.join(salted, ["tok", "_salt"], "left").withColumn(
-        "id", F.coalesce("id", F.lit(unk_id))
+def _encode_inline(df, vocab, rows, words_col, unk_id, out):
+    buckets = max(1, rows // _BUCKET_WORDS)
+    return _looked_up(df, vocab, buckets, words_col, out, lambda tok, at, found: F.coalesce(found, F.lit(unk_id)))
+
+
+def _frequent(df, vocab, words_col, unk_id, share):
+    """Id, or ``unk_id``, of each word that makes up at least ``1/share`` of all words.
+
+    There are at most ``share`` such words, and together they are at most
+    ``share`` times as long as the average word.
+    """
+    counted = df.select(F.explode(words_col).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    often = counted.filter(F.col("n") * share >= total)
+    return often.join(vocab, "tok", "left").select("tok", F.coalesce("id", F.lit(unk_id)).alias("id"))
+
+
+def _encode_shuffled(df, vocab, words_col, text, unk_id, out, key, share):
+    """Frequent words by a constant table, the others by a join.
+
+    The join sees only words that are rare in this text, known or not, so none
+    of its keys is hot, and most of the text never leaves its place.
+    """
+    frequent = checkpoint(_frequent(df, vocab, words_col, unk_id, share))
+    buckets = max(1, frequent.count() // _BUCKET_WORDS)
+    # the words themselves go no further than the join; rows move with ids alone
+    known = _looked_up(df, frequent, buckets, words_col, "_known", lambda tok, at, found: found)
+    cells = _looked_up(
+        df.select(*key, text), frequent, buckets, words_col, "_cells",
+        lambda tok, at, found: F.when(found.isNull(), F.struct(at.alias("at"), tok.alias("tok"))),
+    )
+    rare = cells.select(*key, F.explode(F.array_compact("_cells")).alias("_c"))
+    # size estimates do not see that exploding multiplies rows: never broadcast here
+    found = rare.select(*key, "_c.at", "_c.tok").join(vocab.hint("merge"), "tok")
+    # at most max_length entries per key
+    grouped = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("at", "id"))).alias("_found"))
+    ids = F.transform(
+        "_known", lambda i, at: F.coalesce(i, F.try_element_at(F.col("_found"), at), F.lit(unk_id))
     )
-    # at most max_length ids per key
-    grouped = found.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_pos", "id"))).alias("_ids"))
-    grouped = grouped.select(*key, F.transform("_ids", lambda p: p["id"]).alias(out))
-    # rows without a word come back here
-    empty = F.array().cast("array<int>")
-    joined = df.join(grouped, list(key), "left")
-    return joined.select(*df.columns, F.coalesce(out, empty).alias(out))
+    return known.join(grouped.hint("merge"), list(key), "left").select(*df.columns, ids.alias(out))
 
 
 def encode_words(
@@ -126,20 +151,23 @@ def encode_words(
     out: str = "ids",
     key: Sequence[str] = ("ex_id", "copy_id"),
     max_inline_bytes: int = MAX_INLINE_BYTES,
+    frequent_words: int = FREQUENT_WORDS,
 ) -> DataFrame:
     """Ids of the first ``max_length`` words of ``text``, ``unk_id`` for unknown ones.
 
     The vocabulary is measured first. Up to ``max_inline_bytes`` it becomes one
     constant lookup table inside the projection, so the text is neither moved nor
-    exploded. A bigger one is joined by shuffle over the unique ``key``. Give a
+    exploded. With a bigger one that is done for the frequent words of the text
+    only; the others are joined by shuffle and come back over ``key``. Give a
     stored or checkpointed vocabulary: it is read more than once.
     """
+    words_col = words(as_column(text), max_length)
     rows, size = vocab.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("tok")), F.lit(0))
     ).first()
     if size + rows * _ENTRY_OVERHEAD <= max_inline_bytes:
-        return _encode_inline(df, vocab, max(1, rows // _BUCKET_WORDS), max_length, text, unk_id, out)
-    return _encode_shuffled(df, vocab, max_length, text, unk_id, out, key)
+        return _encode_inline(df, vocab, rows, words_col, unk_id, out)
+    return _encode_shuffled(df, vocab, words_col, text, unk_id, out, key, frequent_words)
 
 
 def word_level_json(vocab: DataFrame, unk: str = SPECIALS[UNK_ID]) -> str:

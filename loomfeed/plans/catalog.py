@@ -253,7 +253,8 @@ def encode_prompts(spark, sf_dir):
 
 def encode_prompts_shuffled(spark, sf_dir):
     prompts = render_v2(examples(spark, sf_dir), repeat_count=COPIES, seed=SEED)
-    ids = encode_words(prompts, vocab_of(prompts), LENGTH, max_inline_bytes=0)
+    # as if the vocabulary were too big: frequent words looked up, the others joined
+    ids = encode_words(prompts, vocab_of(prompts), LENGTH, max_inline_bytes=0, frequent_words=100)
     return ids.select(*KEY, as_text("ids"))
 
 

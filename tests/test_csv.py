@@ -3,7 +3,11 @@ from pyspark.sql import functions as F
 
 from loomfeed.functions.text import content_key
 from loomfeed.operators.augment import replicate
-from loomfeed.plans.prepare import render_v2
+from loomfeed.operators.feed import split_by_hash
+from loomfeed.operators.keys import content_keys
+from loomfeed.operators.vocab import build_vocab, word_level_json
+from loomfeed.plans.prepare import prepare_v2, render_v2
+from loomfeed.session import checkpoint
 from loomfeed.sources import NA_WORDS, read_examples, write_examples
 from loomfeed.sources.csv import CsvLayout, unique_names
 from loomfeed.streaming import stream_examples, write_available
@@ -142,6 +146,22 @@ def test_stream_equals_batch_and_takes_only_new_files(spark, tmp_path):
     assert spark.read.parquet(out).count() == 4 * 3
 
 
+def test_stream_to_model_input(spark, tmp_path):
+    """Encoding and splitting work row by row, so they run on the stream too."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text(HEADER + "Instruction: a b,NA,Output: c\nd,e,f\n")
+    df = content_keys(read_examples(spark, str(tmp_path / "in")))
+    vocab = checkpoint(build_vocab(render_v2(df), size=50))
+    for i, how in enumerate(({"vocab": vocab}, {"tokenizer_json": word_level_json(vocab)})):
+        stream = stream_examples(spark, str(tmp_path / "in"))
+        out = split_by_hash(prepare_v2(stream, max_length=8, **how), 0.5)
+        paths = [str(tmp_path / f"{name}{i}") for name in ("out", "progress")]
+        write_available(out, *paths).awaitTermination()
+        want = split_by_hash(prepare_v2(df, max_length=8, **how), 0.5)
+        assert sorted(values(spark.read.parquet(paths[0]))) == sorted(values(want))
+        assert want.count() == 6
+
+
 def test_stream_fails_on_other_header(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.csv").write_text("output,input,instruction\nx,y,z\n")

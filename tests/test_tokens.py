@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomfeed.functions import arrays
 from loomfeed.operators.augment import replicate
 from loomfeed.operators.tokens import finish_ids, tokenize_batches
-from loomfeed.operators.vocab import SPECIALS, UNK_ID, build_vocab, encode_words, word_level_json
+from loomfeed.operators.vocab import SPECIALS, UNK_ID, _frequent, build_vocab, encode_words, word_level_json
 from loomfeed.session import checkpoint
 from tests.conftest import node_names, plan_nodes
 
@@ -61,13 +61,32 @@ def expected_ids(ids, length):
 
 
 @pytest.mark.parametrize("length", [1, 3, 8, 60])
-@pytest.mark.parametrize("inline", [0, 1 << 20])
-def test_encode_words(table, vocab, length, inline):
-    got = encode_words(table, vocab, length, max_inline_bytes=inline)
+@pytest.mark.parametrize("inline, frequent", [(1 << 20, 1), (0, 1), (0, 4), (0, 1000)])
+def test_encode_words(table, vocab, length, inline, frequent):
+    got = encode_words(table, vocab, length, max_inline_bytes=inline, frequent_words=frequent)
     assert {r.ex_id: r.ids for r in got.collect()} == expected_ids(vocab_dict(vocab), length)
     assert got.columns == ["ex_id", "prompt", "copy_id", "ids"]
 
 
+@pytest.mark.parametrize("frequent", [1, 3, 1000])
+def test_encode_words_with_equal_rows_under_one_key(table, vocab, frequent):
+    twice = table.unionByName(table)
+    got = encode_words(twice, vocab, 8, max_inline_bytes=0, frequent_words=frequent)
+    want = expected_ids(vocab_dict(vocab), 8)
+    rows = got.collect()
+    assert len(rows) == 2 * len(want) and all(r.ids == want[r.ex_id] for r in rows)
+
+
+def test_only_rare_words_are_joined(spark, table, vocab):
+    """A word that makes up a third of the text is looked up, known or not."""
+    for hot in ("a", "unknown"):
+        df = replicate(spark.createDataFrame([(1, f"{hot} b c " * 100), (2, "d e")], "ex_id long, prompt string"), 1)
+        words_col = arrays.words(F.col("prompt"), 1000)
+        often = {r.tok: r.id for r in _frequent(df, vocab, words_col, UNK_ID, 4).collect()}
+        ids = vocab_dict(vocab)
+        assert often == {w: ids.get(w, UNK_ID) for w in (hot, "b", "c")}
+
+
 def test_tokenizer_equals_relational(table, vocab):
     for batch_rows in (1, 4, 1000):
         got = tokenize_batches(table, word_level_json(vocab), 8, batch_rows=batch_rows)
