@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, simhash, substrings, toxicity
+from loomfeed.llm import decontaminate, packing, simhash, substrings, toxicity
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +46,12 @@ def op7_toxicity(spark, sf_dir):
     )
 
 
+def op9_packing(spark, sf_dir):
+    """Pieces of at most 1024 tokens packed into sequences by cutting stock."""
+    cut = packing.pieces(documents(spark, sf_dir), TOKENIZER, end_id=0)
+    return packing.digests(cut, packing.place(cut))
+
+
 def op10_decontaminate(spark, sf_dir):
     """Words of documents inside 10-word windows of the benchmark."""
     found = decontaminate.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -57,5 +67,8 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_substrings, op4_simhash, op7_toxicity, op10_decontaminate)}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_substrings, op4_simhash, op7_toxicity, op9_packing, op10_decontaminate)
+}
 ORACLE: dict[str, str] = {}
