@@ -5,7 +5,11 @@ from __future__ import annotations
 import numpy as np
 
 TOLERANCE = 1e-4
-MAX_COLUMNS = 20_000
+#: Accepted distance from the best lower bound (of the material, or of the prices).
+GAP = 5e-4
+#: Weight of the best prices so far.
+STEADY = 0.7
+MAX_COLUMNS = 5_000
 #: Columns after which the inverse is computed anew.
 REFRESH = 500
 
@@ -32,26 +36,62 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), used
 
 
+def start(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+    """A feasible basis: greedy patterns, largest sizes first, each cut until a size is used up."""
+    left, columns = demand.copy(), []
+    while (open_sizes := np.flatnonzero(left > 0)).size:
+        column, room = np.zeros(len(sizes)), capacity
+        for i in open_sizes[::-1]:
+            column[i] = min(room // sizes[i], np.ceil(left[i]))
+            room -= int(column[i] * sizes[i])
+        used = np.flatnonzero(column)
+        times = (left[used] / column[used]).min()
+        done = used[left[used] <= times * column[used] + 1e-9]
+        left[used] -= times * column[used]
+        left[done] = 0
+        columns.append(column)
+        for i in done[1:]:  # used up together: a pattern of its own keeps the basis whole
+            columns.append(np.where(np.arange(len(sizes)) == i, capacity // sizes[i], 0))
+    return np.array(columns, dtype=float).T
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """The linear program: patterns (columns) of the last basis and how often each is cut.
 
-    Sizes ascend and are 1 to ``capacity``, demands are positive.
+    Sizes ascend and are 1 to ``capacity``, demands are positive. It ends within
+    ``GAP`` of a lower bound, or with no better column, or after ``MAX_COLUMNS``;
+    the basis meets the demands at any time.
     """
-    basis = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(basis))
-    amounts = inverse @ demand
+    basis = start(sizes, demand, capacity)
+    inverse = np.linalg.inv(basis)
+    amounts = np.maximum(inverse @ demand, 0)
+    bound = float(sizes @ demand) / capacity
+    center = sizes / capacity
     for turn in range(1, MAX_COLUMNS):
         if turn % REFRESH == 0:
             inverse = np.linalg.inv(basis)
             amounts = np.maximum(inverse @ demand, 0)
-        duals = inverse.sum(axis=0)
-        value, column = price(duals, sizes, capacity)
-        if value <= 1 + TOLERANCE:
+        cost = float(amounts.sum())
+        if cost <= bound * (1 + GAP):
             break
+        duals = inverse.sum(axis=0)
+        # priced near the best prices so far, which keeps the columns from swinging
+        tried = STEADY * center + (1 - STEADY) * duals
+        value, column = price(tried, sizes, capacity)
+        if value > 0 and tried @ demand / value > bound:
+            bound, center = float(tried @ demand / value), tried / value
+        if column @ duals <= 1 + TOLERANCE:
+            value, column = price(duals, sizes, capacity)
+            if value > 0 and duals @ demand / value > bound:
+                bound, center = float(duals @ demand / value), duals / value
+            if value <= 1 + TOLERANCE:
+                break
         change = np.einsum("ij,j->i", inverse, column.astype(float))
         positive = change > 1e-9
         ratio = np.where(positive, amounts / np.where(positive, change, 1), np.inf)
-        leave = int(ratio.argmin())
+        # of equal ratios the largest pivot, for accuracy
+        tied = np.flatnonzero(ratio <= ratio.min() + 1e-9)
+        leave = int(tied[change[tied].argmax()])
         step = ratio[leave]
         amounts = np.maximum(amounts - step * change, 0)
         amounts[leave] = step

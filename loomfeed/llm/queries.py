@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, packing, simhash, substrings, toxicity
-
+from loomfeed.llm import decontaminate, packing, simhash, substrings, token_files, toxicity
+from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,6 +28,13 @@ def op2_substrings(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
 
 
+def op3_token_files(spark, sf_dir):
+    """Token ids written to rANS files in doc_id order and read back."""
+    folder = fresh_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), folder, TOKENIZER, end_id=2)
+    return token_files.digests(token_files.read(spark, folder))
+
+
 def op4_simhash(spark, sf_dir):
     """Components of SimHash fingerprints at most two bits apart."""
     found = simhash.near_duplicates(documents(spark, sf_dir))
@@ -69,6 +76,6 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substrings, op4_simhash, op7_toxicity, op9_packing, op10_decontaminate)
+    for f in (op2_substrings, op3_token_files, op4_simhash, op7_toxicity, op9_packing, op10_decontaminate)
 }
 ORACLE: dict[str, str] = {}

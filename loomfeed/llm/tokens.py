@@ -8,6 +8,7 @@ where the tokenizer's own word rule cuts as well.
 
 from __future__ import annotations
 
+import os
 import re
 from functools import lru_cache
 
@@ -27,6 +28,7 @@ class Encoder:
     """``encode(texts)``: the ids of each text as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memory: dict[str, bytes] = {}
