@@ -36,6 +36,20 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), used
 
 
+def inverted(basis: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with partial pivots; a few hundred rows need no threaded library."""
+    n = len(basis)
+    both = np.hstack((basis, np.eye(n)))
+    for i in range(n):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0
+        both -= np.outer(factor, both[i])
+    return both[:, n:]
+
+
 def start(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
     """A feasible basis: greedy patterns, largest sizes first, each cut until a size is used up."""
     left, columns = demand.copy(), []
@@ -63,13 +77,13 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndar
     the basis meets the demands at any time.
     """
     basis = start(sizes, demand, capacity)
-    inverse = np.linalg.inv(basis)
+    inverse = inverted(basis)
     amounts = np.maximum(inverse @ demand, 0)
     bound = float(sizes @ demand) / capacity
     center = sizes / capacity
     for turn in range(1, MAX_COLUMNS):
         if turn % REFRESH == 0:
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
             amounts = np.maximum(inverse @ demand, 0)
         cost = float(amounts.sum())
         if cost <= bound * (1 + GAP):

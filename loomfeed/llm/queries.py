@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, packing, simhash, substrings, token_files, toxicity
+from loomfeed.llm import decontaminate, packing, sharding, simhash, substrings, token_files, toxicity
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,11 @@ def op7_toxicity(spark, sf_dir):
     )
 
 
+def op8_sharding(spark, sf_dir):
+    """Sixteen shards by the hash tree, and the shard of each row with one more."""
+    return sharding.shard_documents(documents(spark, sf_dir), 16, 17)
+
+
 def op9_packing(spark, sf_dir):
     """Pieces of at most 1024 tokens packed into sequences by cutting stock."""
     cut = packing.pieces(documents(spark, sf_dir), TOKENIZER, end_id=0)
@@ -76,6 +81,6 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substrings, op3_token_files, op4_simhash, op7_toxicity, op9_packing, op10_decontaminate)
+    for f in (op2_substrings, op3_token_files, op4_simhash, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
 }
 ORACLE: dict[str, str] = {}
