@@ -104,7 +104,7 @@ def write_file(path: str, chunks: Iterable[bytes]) -> int:
     head, _, name = place.rpartition("/")
     attempt = f"{head}/_{name}.{uuid.uuid4().hex}"
     size = 0
-    with system.open_output_stream(attempt) as out:
+    with system.open_output_stream(attempt, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, packing, sharding, simhash, substrings, token_files, toxicity
+from loomfeed.llm import decontaminate, packing, sharding, simhash, substrings, token_files, toxicity, warc
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,14 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark, sf_dir):
+    """Pages written as Zstandard WARC archives and read back."""
+    folder = fresh_path(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.read(spark, folder)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_toxicity(spark, sf_dir):
     """Toxicity of every text, learned from two thirds of the labels."""
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
@@ -81,6 +89,6 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substrings, op3_token_files, op4_simhash, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
+    for f in (op2_substrings, op3_token_files, op4_simhash, op5_warc, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
 }
 ORACLE: dict[str, str] = {}

@@ -197,7 +197,7 @@ def write(
 
 def read_table(folder: str) -> rans.Table:
     system, place = file_system(f"{folder}/{TABLE}")
-    with system.open_input_stream(place) as source:
+    with system.open_input_stream(place, compression=None) as source:
         return rans.Table(np.frombuffer(source.read(), "<u4"))
 
 
@@ -219,7 +219,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 system, place = file_system(path)
-                with system.open_input_stream(place) as source:
+                with system.open_input_stream(place, compression=None) as source:
                     data = source.read()
                 (part, _, before), docs, blocks = parse(data, table)
                 ids = np.concatenate([rans.decode(b, table) for b in blocks] or [np.empty(0, np.uint32)])
