@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, packing, sharding, simhash, substrings, token_files, toxicity, warc
+from loomfeed.llm import decontaminate, nearest, packing, sharding, simhash, substrings, token_files, toxicity, warc
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,11 @@ def op5_warc(spark, sf_dir):
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_nearest(spark, sf_dir):
+    """The 20 nearest of every twentieth vector, by inner product."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), queries_modulus=20)
+
+
 def op7_toxicity(spark, sf_dir):
     """Toxicity of every text, learned from two thirds of the labels."""
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
@@ -89,6 +94,6 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substrings, op3_token_files, op4_simhash, op5_warc, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
+    for f in (op2_substrings, op3_token_files, op4_simhash, op5_warc, op6_nearest, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
 }
 ORACLE: dict[str, str] = {}
