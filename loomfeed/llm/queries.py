@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, nearest, packing, sharding, simhash, substrings, token_files, toxicity, warc
+from loomfeed.llm import decontaminate, nearest, packing, pitman_yor, sharding, simhash, substrings, token_files, toxicity, warc
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_pitman_yor(spark, sf_dir):
+    """Log probability of every text; six of seven texts are learned from."""
+    return pitman_yor.score(documents(spark, sf_dir), toxicity.bucket("doc_id", 7) == 2)
+
+
 def op2_substrings(spark, sf_dir):
     """Words of repeated 35-word windows, removed."""
     kept = substrings.remove_repeats(documents(spark, sf_dir))
@@ -94,6 +99,6 @@ def op10_decontaminate(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substrings, op3_token_files, op4_simhash, op5_warc, op6_nearest, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
+    for f in (op1_pitman_yor, op2_substrings, op3_token_files, op4_simhash, op5_warc, op6_nearest, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
 }
 ORACLE: dict[str, str] = {}
