@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, nearest, packing, pitman_yor, sharding, simhash, substrings, token_files, toxicity, warc
+from loomfeed.llm import decontaminate, nearest, oracle, packing, pitman_yor, sharding, simhash, substrings, token_files, toxicity, warc
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,4 +101,4 @@ QUERIES = {
     f.__name__: f
     for f in (op1_pitman_yor, op2_substrings, op3_token_files, op4_simhash, op5_warc, op6_nearest, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
 }
-ORACLE: dict[str, str] = {}
+ORACLE = oracle.ORACLE
