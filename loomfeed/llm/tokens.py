@@ -1,15 +1,17 @@
 """Token ids of whole texts by a serialized tokenizer, with a memory of pieces.
 
-Byte-level BPE never joins text across the start of a blank-led word, so a text
-is cut before single blanks and each piece is encoded by the tokenizer once per
-worker. Pieces around runs of blanks are cut only where the run starts, which is
-where the tokenizer's own word rule cuts as well.
+Byte-level BPE never joins text across the start of a blank-led word, around a
+single line break or between letters and the marks after them, so a text is cut
+there and each piece is encoded by the tokenizer once per worker. Pieces around
+runs of blanks are cut only where the run starts, which is where the tokenizer's
+own word rule cuts as well.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,6 +23,9 @@ MOST_PIECES = 500_000
 LONGEST_PIECE = 64
 #: Pieces encoded as one string.
 TOGETHER = 50
+#: Letters of which the word rule makes one piece, and marks after them that it cuts off.
+LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+TAILED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
 
 
@@ -38,45 +43,68 @@ class Encoder:
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; pieces that a blank leads are encoded together and cut by their bytes."""
-        out: list[bytes] = [b""] * len(pieces)
-        joined = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2].strip()]
-        groups = [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
-        lone = sorted(set(range(len(pieces))) - set(joined))
-        groups += [[i] for i in lone]
-        found = self.tokenizer.encode_batch_fast(
-            ["".join([pieces[i] for i in g]) for g in groups], add_special_tokens=False
-        )
-        for group, encoding in zip(groups, found, strict=True):
-            ids = np.array(encoding.ids, dtype="<u4")
-            ends = np.cumsum(self.bytes_of[ids])
-            stops = np.cumsum([len(pieces[i].encode()) for i in group])
-            at = np.searchsorted(ends, stops)
-            if len(ids) and not np.array_equal(ends[np.minimum(at, len(ends) - 1)], stops):
-                raise ValueError("the tokenizer joins pieces across blanks: byte-level BPE is needed")
-            data, start = ids.tobytes(), 0
-            for i, stop in zip(group, (4 * (at + 1)).tolist(), strict=True):
-                out[i] = data[start:stop]
-                start = stop
-        return out
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
+    def _ids(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of plain pieces, encoded many to a string and cut by their bytes."""
+        # a line break before a letter is a token of its own
+        lines = [p if p[0] == " " else "\n" + p for p in pieces]
+        together = ["".join(lines[at : at + TOGETHER]) for at in range(0, len(lines), TOGETHER)]
+        ids = np.concatenate(self._batch(together) or [np.empty(0, "<u4")])
+        ends = np.cumsum(self.bytes_of[ids])
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, lines)), np.int64, len(lines)))
+        at = np.searchsorted(ends, stops)
+        if not np.array_equal(ends[at], stops):
+            raise ValueError("the tokenizer joins pieces across blanks: byte-level BPE is needed")
+        data, start = ids.tobytes(), 0
+        for piece, stop in zip(pieces, (4 * (at + 1)).tolist(), strict=True):
+            yield data[start:stop] if piece[0] == " " else data[start + 4 : stop]
+            start = stop
 
     def encode(self, texts: list[str]) -> list[bytes]:
         memory = self.memory
         if len(memory) > MOST_PIECES:
             memory.clear()
         cut = [pieces_of(t) for t in texts]
-        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in memory))
-        memory.update(zip(new, self._ids(new), strict=True))
-        out = [b"".join([memory[p] for p in pieces]) for pieces in cut]
-        for p in new:
-            if len(p) > LONGEST_PIECE:
-                del memory[p]
+        plain: set[str] = set()
+        other: list[str] = []
+        tailed: list[tuple[str, str, str]] = []
+        for piece in set().union(*cut) - memory.keys():
+            if piece[1:].isalpha() and LETTERS.fullmatch(piece):
+                plain.add(piece)
+            elif parts := TAILED.fullmatch(piece):
+                tailed.append((piece, parts[1], parts[2]))
+                plain.add(parts[1])
+                if parts[2] not in memory:
+                    other.append(parts[2])
+            else:
+                other.append(piece)
+        words = list(plain - memory.keys())
+        memory.update(zip(words, self._ids(words), strict=True))
+        memory.update(zip(other, (x.tobytes() for x in self._batch(other)), strict=True))
+        for piece, word, marks in tailed:
+            memory[piece] = memory[word] + memory[marks]
+        out = [b"".join(map(memory.__getitem__, pieces)) for pieces in cut]
+        for piece in [p for new in (other, words, (t[0] for t in tailed)) for p in new if len(p) > LONGEST_PIECE]:
+            memory.pop(piece, None)
         return out
 
 
 def pieces_of(text: str) -> list[str]:
-    """The text cut before blanks that follow a visible character."""
+    """The text cut before blanks that follow a visible character, and around single line breaks."""
+    lines = text.split("\n")
+    if len(lines) == 1 or any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        return _line(text)
+    out = _line(lines[0])
+    for line in lines[1:]:
+        out.append("\n")
+        out += _line(line)
+    return out
+
+
+def _line(text: str) -> list[str]:
     if "  " in text:
         return BEFORE_BLANK.split(text)
     pieces = text.split(" ")
