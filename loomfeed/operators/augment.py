@@ -34,18 +34,11 @@ def replicate(df: DataFrame, n: int, out: str = "copy_id") -> DataFrame:
 
 
 def renumber(df: DataFrame, order: str = "ex_id", out: str = "row_index") -> DataFrame:
-    """Dense copy-major index: ``copy_id * rows + position of the row``.
+    """Dense copy-major index: all rows by ``copy_id``, then ``order`` (nulls first).
 
-    ``order`` is unique among the originals.
+    Every row gets a number of its own, also where keys repeat.
     """
-    originals = df.filter(F.col("copy_id") == 0).select(order)
-    positions = ordered_position(originals, [order], "_position")
-    rows = positions.select(F.count(F.lit(1))).scalar()
-    return (
-        df.join(positions, order)
-        .withColumn(out, F.col("copy_id") * rows + F.col("_position"))
-        .drop("_position")
-    )
+    return ordered_position(df, ["copy_id", order], out)
 
 
 def _row_draw(name: str, key: str) -> list:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomfeed.functions import arrays
 from loomfeed.functions.text import as_column
 from loomfeed.operators.position import hashed_position
+from loomfeed.session import checkpoint
 
 KEY = ("ex_id", "copy_id")
 
@@ -43,9 +44,10 @@ def _cut(keys: DataFrame, digits: tuple[int, int], wanted: DataFrame | None, tes
 def split(
     df: DataFrame, test_size: float = 0.1, seed: int = 42, key: str = "ex_id", out: str = "split"
 ) -> DataFrame:
-    """Mark exactly ``ceil(n * test_size)`` of the ``n`` examples "test", the rest "train".
+    """Mark exactly ``ceil(n * test_size)`` of the ``n`` distinct examples "test", the rest "train".
 
-    Test rows are the first in seeded hash order. The last test row's hash is
+    An example is a value of ``key``: rows with one key fall on one side, also
+    null keys, so no example is in both parts. Test rows are the first in seeded hash order. The last test row's hash is
     found by two prefix histograms and a sort of the few keys that share eight
     hex digits; then every row compares its own hash with it. The table itself is
     never shuffled, but its keys are read several times: give a stored table.
@@ -53,7 +55,7 @@ def split(
     """
     originals = df.filter(F.col("copy_id") == 0) if "copy_id" in df.columns else df
     digest = _digest(seed, key)
-    keys = originals.select(as_column(key).alias("_key"), digest.alias("_hash"))
+    keys = originals.select(as_column(key).alias("_key"), digest.alias("_hash")).distinct()
     first = _cut(keys, (1, 4), None, test_size)
     keys = keys.join(F.broadcast(first.select("_prefix")), F.substring("_hash", 1, 4) == F.col("_prefix")).drop("_prefix")
     second = _cut(keys, (5, 4), first, test_size)
@@ -75,16 +77,18 @@ def split_by_hash(
 def epochs(df: DataFrame, n: int = 3, seed: int = 42, key: Sequence[str] = KEY) -> DataFrame:
     """Every row once per epoch, with its place in that epoch's own shuffled order.
 
-    Adds ``epoch`` (0-based) and ``position`` (dense, 0-based per epoch). Places
-    are computed on the unique keys alone; other columns move once, in the join
-    back, and not once per epoch and shuffle. The keys are read twice: give a
-    stored table where computing it is expensive.
+    Adds ``epoch`` (0-based) and ``position`` (dense, 0-based per epoch). Rows
+    are told apart by a number that a checkpoint fixes, never by their key, so
+    rows with equal or null keys are kept and placed like any others. Places are
+    computed on keys and numbers alone; the other columns move once, in the join
+    back on that number.
     """
-    keys = df.select(*key).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    placed = hashed_position(keys, _digest(seed, "epoch", *key), key, "epoch", n)
+    rows = checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    keys = rows.select("_row", *key).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    placed = hashed_position(keys, _digest(seed, "epoch", *key), [*key, "_row"], "epoch")
     if set(df.columns) == set(key):
         return placed.select(*key, "epoch", "position")
-    return df.join(placed, list(key))
+    return rows.join(placed.select("_row", "epoch", "position"), "_row").drop("_row")
 
 
 def assign_batches(

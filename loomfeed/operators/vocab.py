@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomfeed.functions.arrays import words
-from loomfeed.functions.text import as_column
+from loomfeed.functions.text import as_column, quoted
 from loomfeed.session import checkpoint
 
 # Special words, whose ids are their places in this list.
@@ -21,6 +21,8 @@ MAX_INLINE_BYTES = 32 * 1024 * 1024
 _ENTRY_OVERHEAD = 64
 # Words per bucket of the lookup table: few enough to search, enough to keep it small.
 _BUCKET_WORDS = 4
+# Longer words are not put into a constant table.
+LONGEST_INLINE = 256
 # At most this many words can each make up 1/FREQUENT_WORDS of a text.
 FREQUENT_WORDS = 100_000
 
@@ -105,41 +107,49 @@ def _encode_inline(df, vocab, rows, words_col, unk_id, out):
     return _looked_up(df, vocab, buckets, words_col, out, lambda tok, at, found: F.coalesce(found, F.lit(unk_id)))
 
 
-def _frequent(df, vocab, words_col, unk_id, share):
-    """Id, or ``unk_id``, of each word that makes up at least ``1/share`` of all words.
+def _frequent(rows, vocab, unk_id, share):
+    """Id, or ``unk_id``, of each short word that makes up at least ``1/share`` of all words.
 
-    There are at most ``share`` such words, and together they are at most
-    ``share`` times as long as the average word.
+    There are at most ``share`` such words of at most ``LONGEST_INLINE`` bytes,
+    which bounds the constant table. A longer one goes the way of rare words.
     """
-    counted = df.select(F.explode(words_col).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    counted = rows.select(F.explode("_words").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
     total = counted.agg(F.sum("n")).scalar()
-    often = counted.filter(F.col("n") * share >= total)
+    often = counted.filter((F.col("n") * share >= total) & (F.octet_length("tok") <= LONGEST_INLINE))
     return often.join(vocab, "tok", "left").select("tok", F.coalesce("id", F.lit(unk_id)).alias("id"))
 
 
-def _encode_shuffled(df, vocab, words_col, text, unk_id, out, key, share):
+def _encode_shuffled(df, vocab, words_col, unk_id, out, share):
     """Frequent words by a constant table, the others by a join.
 
-    The join sees only words that are rare in this text, known or not, so none
-    of its keys is hot, and most of the text never leaves its place.
+    The text is split once; the rows are checkpointed with their words and a row
+    number, and rare words come back over that number, so keys of the table play
+    no part. The join sees only words that are rare in this text, known or not,
+    so none of its keys is hot, and most of the text never leaves its place.
     """
-    frequent = checkpoint(_frequent(df, vocab, words_col, unk_id, share))
+    rows = checkpoint(df.withColumn("_words", words_col).withColumn("_row", F.monotonically_increasing_id()))
+    frequent = checkpoint(_frequent(rows, vocab, unk_id, share))
     buckets = max(1, frequent.count() // _BUCKET_WORDS)
     # the words themselves go no further than the join; rows move with ids alone
-    known = _looked_up(df, frequent, buckets, words_col, "_known", lambda tok, at, found: found)
+    listed = F.col("_words")
+    known = _looked_up(
+        rows.select(*[F.col(quoted(c)) for c in df.columns], "_row", listed.alias("_list")),
+        frequent, buckets, F.col("_list"), "_known", lambda tok, at, found: found,
+    ).drop("_list")
     cells = _looked_up(
-        df.select(*key, text), frequent, buckets, words_col, "_cells",
+        rows.select("_row", listed.alias("_list")), frequent, buckets, F.col("_list"), "_cells",
         lambda tok, at, found: F.when(found.isNull(), F.struct(at.alias("at"), tok.alias("tok"))),
     )
-    rare = cells.select(*key, F.explode(F.array_compact("_cells")).alias("_c"))
+    rare = cells.select("_row", F.explode(F.array_compact("_cells")).alias("_c"))
     # size estimates do not see that exploding multiplies rows: never broadcast here
-    found = rare.select(*key, "_c.at", "_c.tok").join(vocab.hint("merge"), "tok")
-    # at most max_length entries per key
-    grouped = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("at", "id"))).alias("_found"))
+    found = rare.select("_row", "_c.at", "_c.tok").join(vocab.hint("merge"), "tok")
+    # at most max_length entries per row
+    grouped = found.groupBy("_row").agg(F.map_from_entries(F.collect_set(F.struct("at", "id"))).alias("_found"))
     ids = F.transform(
         "_known", lambda i, at: F.coalesce(i, F.try_element_at(F.col("_found"), at), F.lit(unk_id))
     )
-    return known.join(grouped.hint("merge"), list(key), "left").select(*df.columns, ids.alias(out))
+    joined = known.join(grouped.hint("merge"), "_row", "left")
+    return joined.select(*[F.col(quoted(c)) for c in df.columns], ids.alias(out))
 
 
 def encode_words(
@@ -149,32 +159,53 @@ def encode_words(
     text: str = "prompt",
     unk_id: int = UNK_ID,
     out: str = "ids",
-    key: Sequence[str] = ("ex_id", "copy_id"),
     max_inline_bytes: int = MAX_INLINE_BYTES,
     frequent_words: int = FREQUENT_WORDS,
+    bos_id: int | None = None,
+    eos_id: int | None = None,
 ) -> DataFrame:
-    """Ids of the first ``max_length`` words of ``text``, ``unk_id`` for unknown ones.
+    """Ids of the first words of ``text``, ``unk_id`` for unknown ones, at most ``max_length``.
 
+    ``bos_id`` and ``eos_id`` are put around the words and count in ``max_length``.
     The vocabulary is measured first. Up to ``max_inline_bytes`` it becomes one
     constant lookup table inside the projection, so the text is neither moved nor
     exploded. With a bigger one that is done for the frequent words of the text
-    only; the others are joined by shuffle and come back over ``key``. Give a
-    stored or checkpointed vocabulary: it is read more than once.
+    only; the others are joined by shuffle, which a stream can't do. Both ways
+    give the same rows. Give a stored or checkpointed vocabulary: it is read more
+    than once.
     """
-    words_col = words(as_column(text), max_length)
+    around = [i for i in (bos_id, eos_id) if i is not None]
+    if len(around) > max_length:
+        raise ValueError(f"max_length {max_length} leaves no room for {len(around)} special ids")
+    words_col = words(as_column(text), max_length - len(around))
     rows, size = vocab.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("tok")), F.lit(0))
     ).first()
     if size + rows * _ENTRY_OVERHEAD <= max_inline_bytes:
-        return _encode_inline(df, vocab, rows, words_col, unk_id, out)
-    return _encode_shuffled(df, vocab, words_col, text, unk_id, out, key, frequent_words)
+        encoded = _encode_inline(df, vocab, rows, words_col, unk_id, out)
+    elif df.isStreaming:
+        raise ValueError(
+            f"the vocabulary has more than {max_inline_bytes} bytes, too many to encode a stream:"
+            " raise max_inline_bytes or use a smaller vocabulary"
+        )
+    else:
+        encoded = _encode_shuffled(df, vocab, words_col, unk_id, out, frequent_words)
+    if not around:
+        return encoded
+    parts = [F.array(F.lit(bos_id))] if bos_id is not None else []
+    parts.append(F.col(out))
+    parts += [F.array(F.lit(eos_id))] if eos_id is not None else []
+    return encoded.withColumn(out, F.concat(*parts))
 
 
 def word_level_json(vocab: DataFrame, unk: str = SPECIALS[UNK_ID]) -> str:
     """``vocab`` as a serialized tokenizer for :func:`tokenize_batches`.
 
-    The rows collected are the vocabulary's, whose number is fixed when it is built.
+    It is measured before it is collected, and refused beyond ``MAX_INLINE_BYTES``.
     """
+    rows, size = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("tok")), F.lit(0))).first()
+    if size + rows * _ENTRY_OVERHEAD > MAX_INLINE_BYTES:
+        raise ValueError(f"the vocabulary has more than {MAX_INLINE_BYTES} bytes")
     ids = {row["tok"]: row["id"] for row in vocab.collect()}
     return json.dumps(
         {

@@ -30,7 +30,7 @@ from loomfeed.operators import (
     vary_slots,
     word_level_json,
 )
-from loomfeed.operators.vocab import EOS_ID, PAD_ID
+from loomfeed.operators.vocab import BOS_ID, EOS_ID, PAD_ID
 from loomfeed.plans.examples import examples_from_conversations as examples
 from loomfeed.plans.prepare import prepare_v1, prepare_v2, render_v1, render_v2
 from loomfeed.session import checkpoint, fresh_path
@@ -39,9 +39,9 @@ from loomfeed.streaming import stream_examples, write_available
 
 SEED = 42
 COPIES = 3
-LENGTH = 32
-VOCAB = 500
-DOCUMENT_VOCAB = 2000
+LENGTH = 512
+VOCAB = 4000
+DOCUMENT_VOCAB = 32_000
 EPOCHS = 3
 BATCH, WORLD, ACCUM = 2, 3, 2
 TEST_SIZE = 0.1
@@ -76,7 +76,12 @@ def example_ids(spark: SparkSession, sf_dir: str, max_length: int = LENGTH) -> D
 def document_ids(spark: SparkSession, sf_dir: str, max_length: int = LENGTH) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     vocab = vocab_of(docs, DOCUMENT_VOCAB, "text")
-    return encode_words(docs, vocab, max_length, text="text", key=["doc_id"]).drop("text")
+    return encode_words(docs, vocab, max_length, text="text").drop("text")
+
+
+def longest_text(spark: SparkSession, sf_dir: str) -> int:
+    """Words of the longest document: no text is cut at this length."""
+    return documents(spark, sf_dir).select(F.max(F.size(arrays.words(F.col("text"))))).first()[0]
 
 
 def example_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -121,8 +126,7 @@ def write_examples_parquet(spark, sf_dir):
 
 
 def row_keys_by_content(spark, sf_dir):
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("role", "text")
-    return row_keys(turns).select("ex_id", "role", "text")
+    return row_keys(documents(spark, sf_dir).select("text")).select("ex_id", "text")
 
 
 # predicates and switches
@@ -183,6 +187,17 @@ def replicate_rows(spark, sf_dir):
     return copies(spark, sf_dir).select(*KEY, "instruction")
 
 
+def equal_rows(spark, sf_dir):
+    """Documents keyed by their text: many equal keys, and every tenth one null."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    key = F.when(F.col("doc_id") % 10 != 0, texts.content_key(["text"]))
+    return replicate(docs.select(key.alias("ex_id")), COPIES)
+
+
+def renumber_equal_rows(spark, sf_dir):
+    return renumber(equal_rows(spark, sf_dir)).select("row_index", *KEY)
+
+
 def renumber_rows(spark, sf_dir):
     return renumber(copies(spark, sf_dir)).select("row_index", *KEY)
 
@@ -258,38 +273,60 @@ def encode_prompts_shuffled(spark, sf_dir):
     return ids.select(*KEY, as_text("ids"))
 
 
+def encode_by_source(spark, sf_dir, **options):
+    """Documents under a key that repeats and is sometimes null, special ids around."""
+    source = F.when(F.col("doc_id") % 10 != 0, F.col("source"))
+    docs = documents(spark, sf_dir).select(source.alias("source"), "text")
+    vocab = vocab_of(docs, DOCUMENT_VOCAB, "text")
+    ids = encode_words(docs, vocab, LENGTH, text="text", bos_id=BOS_ID, eos_id=EOS_ID, **options)
+    return ids.select("source", as_text("ids"))
+
+
+def encode_words_special_ids(spark, sf_dir):
+    return encode_by_source(spark, sf_dir)
+
+
+def encode_words_shuffled_special_ids(spark, sf_dir):
+    return encode_by_source(spark, sf_dir, max_inline_bytes=0, frequent_words=1000)
+
+
 def truncate_ids(spark, sf_dir):
     ids = document_ids(spark, sf_dir, 4 * LENGTH)
     return ids.select("doc_id", arrays.truncate(F.col("ids"), LENGTH).alias("ids")).select("doc_id", as_text("ids"))
 
 
 def pad_max_length(spark, sf_dir):
-    ids = document_ids(spark, sf_dir)
-    padded = {f"pad_{side}": arrays.pad(F.col("ids"), LENGTH, PAD_ID, side) for side in ("left", "right")}
+    length = longest_text(spark, sf_dir)
+    ids = document_ids(spark, sf_dir, length)
+    padded = {f"pad_{side}": arrays.pad(F.col("ids"), length, PAD_ID, side) for side in ("left", "right")}
     return ids.withColumns(padded).select("doc_id", as_text("pad_left"), as_text("pad_right"))
 
 
 def pad_longest(spark, sf_dir):
-    ids = assign_batches(epochs(example_ids(spark, sf_dir, 2 * LENGTH), 1, SEED), 4, 2, 1)
-    out = finish_ids(ids, 2 * LENGTH, PAD_ID, padding="longest")
+    ids = assign_batches(epochs(example_ids(spark, sf_dir), 1, SEED), 4, 2, 1)
+    out = finish_ids(ids, LENGTH, PAD_ID, padding="longest")
     return out.select(*KEY, as_text("input_ids"), as_text("attention_mask"))
 
 
 def attention_mask(spark, sf_dir):
-    ids = document_ids(spark, sf_dir)
-    masks = {f"mask_{side}": arrays.attention_mask(F.col("ids"), LENGTH, side) for side in ("left", "right")}
+    length = longest_text(spark, sf_dir)
+    ids = document_ids(spark, sf_dir, length)
+    masks = {f"mask_{side}": arrays.attention_mask(F.col("ids"), length, side) for side in ("left", "right")}
     return ids.withColumns(masks).select("doc_id", as_text("mask_left"), as_text("mask_right"))
 
 
 def mask_labels(spark, sf_dir):
-    padded = arrays.pad(F.col("ids"), LENGTH, PAD_ID)
-    labels = document_ids(spark, sf_dir).select("doc_id", arrays.mask_labels(padded, PAD_ID).alias("labels"))
+    length = longest_text(spark, sf_dir)
+    padded = arrays.pad(F.col("ids"), length, PAD_ID)
+    labels = document_ids(spark, sf_dir, length).select("doc_id", arrays.mask_labels(padded, PAD_ID).alias("labels"))
     return labels.select("doc_id", as_text("labels"))
 
 
 def pad_token_fallback(spark, sf_dir):
-    ended = document_ids(spark, sf_dir, LENGTH - 1).withColumn("ids", F.concat("ids", F.array(F.lit(EOS_ID))))
-    out = finish_ids(ended, LENGTH, pad_id=None, eos_id=EOS_ID)
+    docs, length = documents(spark, sf_dir).select("doc_id", "text"), longest_text(spark, sf_dir) + 1
+    vocab = vocab_of(docs, DOCUMENT_VOCAB, "text")
+    ended = encode_words(docs, vocab, length, text="text", eos_id=EOS_ID).drop("text")
+    out = finish_ids(ended, length, pad_id=None, eos_id=EOS_ID)
     return out.select("doc_id", as_text("input_ids"), as_text("attention_mask"), as_text("labels"))
 
 
@@ -312,6 +349,15 @@ def epoch_shuffle(spark, sf_dir):
     return epochs(copies(spark, sf_dir).select(*KEY), EPOCHS, SEED)
 
 
+def epoch_shuffle_equal_rows(spark, sf_dir):
+    return epochs(equal_rows(spark, sf_dir), EPOCHS, SEED)
+
+
+def train_test_split_equal_rows(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "source")
+    return split(docs, TEST_SIZE, SEED, key="source")
+
+
 def assign_batches_of_epochs(spark, sf_dir):
     placed = assign_batches(epoch_shuffle(spark, sf_dir), BATCH, WORLD, ACCUM)
     return placed.select(*KEY, "epoch", "rank", "micro", "step", "slot")
@@ -374,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "augment_switches": augment_switches,
     "replicate": replicate_rows,
     "renumber": renumber_rows,
+    "renumber_equal_rows": renumber_equal_rows,
     "replace_all": replace_all,
     "replace_first": replace_first,
     "variant_candidates": variant_candidates,
@@ -388,6 +435,8 @@ QUERIES: dict[str, Query] = {
     "build_vocab_documents": build_vocab_of_documents,
     "encode_words": encode_prompts,
     "encode_words_shuffled": encode_prompts_shuffled,
+    "encode_words_special_ids": encode_words_special_ids,
+    "encode_words_shuffled_special_ids": encode_words_shuffled_special_ids,
     "truncate": truncate_ids,
     "pad_max_length": pad_max_length,
     "pad_longest": pad_longest,
@@ -398,6 +447,8 @@ QUERIES: dict[str, Query] = {
     "train_test_split": train_test_split,
     "train_test_split_by_hash": train_test_split_by_hash,
     "epoch_shuffle": epoch_shuffle,
+    "epoch_shuffle_equal_rows": epoch_shuffle_equal_rows,
+    "train_test_split_equal_rows": train_test_split_equal_rows,
     "assign_batches": assign_batches_of_epochs,
     "collate_causal_lm": collate_causal_lm,
     "prepare_dataset_v1": prepare_dataset_v1,

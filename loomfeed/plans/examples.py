@@ -17,7 +17,9 @@ def examples_from_conversations(
     A conversation is cut into chunks of turns, so that a very long one is
     ordered by many tasks. The turn after a chunk's last one, and the system
     text of the conversation, come from a table of one row per chunk, joined on
-    the same key the turns are already partitioned by.
+    the same key the turns are already partitioned by. ``ex_id`` is
+    ``<conv_id>-<turn>``. Turns without a conversation are one conversation
+    without a system text.
     """
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").withColumn(
         "_chunk", F.floor(F.col("turn") / turns_per_chunk)
@@ -29,21 +31,21 @@ def examples_from_conversations(
     )
     conversation = Window.partitionBy("conv_id")
     chunks = chunks.select(
-        "conv_id",
-        "_chunk",
+        F.col("conv_id").alias("_conv"),
+        F.col("_chunk").alias("_part"),
         F.lead("_first").over(conversation.orderBy("_chunk")).alias("_after"),
         F.min("_system").over(conversation).alias("_system"),
     )
     inside = Window.partitionBy("conv_id", "_chunk").orderBy("turn")
     pairs = (
         turns.withColumn("_next", F.lead(said).over(inside))
-        .join(chunks, ["conv_id", "_chunk"])
+        .join(chunks, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("_chunk").eqNullSafe(F.col("_part")))
         .withColumn("_next", F.coalesce("_next", "_after"))
         .filter((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
     )
-    system = F.col("_system")
+    system = F.when(F.col("conv_id").isNotNull(), F.col("_system"))
     return pairs.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("ex_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("ex_id"),
         F.when(F.col("conv_id") % 5 == 0, F.col("text"))
         .otherwise(F.concat(F.lit("Instruction: "), "text"))
         .alias("instruction"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from loomfeed.operators.augment import COLUMN_WORDS, SLOT_WORDS
 from loomfeed.operators.checks import REQUIRED
-from loomfeed.operators.vocab import EOS_ID, PAD_ID, SPECIALS, UNK_ID
+from loomfeed.operators.vocab import BOS_ID, EOS_ID, PAD_ID, SPECIALS, UNK_ID
 from loomfeed.plans import catalog as q
 from loomfeed.sources import NA_WORDS
 
@@ -33,7 +33,7 @@ EXAMPLES: Ctes = {
         select conv_id, min(text) as system_text from conversations
         where role = 'system' group by conv_id""",
     "examples": """
-        select t.conv_id * 1000 + t.turn as ex_id,
+        select concat_ws('-', t.conv_id, t.turn) as ex_id,
                case when t.conv_id % 5 = 0 then t.text
                     else concat('Instruction: ', t.text) end as instruction,
                case when s.system_text is not null
@@ -117,7 +117,7 @@ PROMPTS_V1: Ctes = {**COPIES, **prompts(varied_slots("copies"), full_prompt())}
 PROMPTS_V2: Ctes = {**COPIES, **prompts(varied_columns("copies"), optional_prompt())}
 
 
-def encoded(source: str, text: str, key: str, size: int, length: int) -> Ctes:
+def encoded(source: str, text: str, key: str, size: int, length: int | str) -> Ctes:
     """Vocabulary of ``source`` and its ids, cut to ``length``."""
     specials = ", ".join(f"({lit(t)}, {i})" for i, t in enumerate(SPECIALS))
     keys = ", ".join(f"s.{k.strip()}" for k in key.split(","))
@@ -164,7 +164,7 @@ def text_of(value: str) -> str:
     return f"array_to_string({value}, ' ')"
 
 
-def finished(length: int, pad_id: int = PAD_ID, labels: bool = True) -> str:
+def finished(length: int | str, pad_id: int = PAD_ID, labels: bool = True) -> str:
     cols = [
         f"{text_of(padded(length, pad_id))} as input_ids",
         f"{text_of(masked(length))} as attention_mask",
@@ -178,7 +178,11 @@ IDS: Ctes = {**PROMPTS_V2, **encoded("prompts", "prompt", "ex_id, copy_id", q.VO
 IDS_V1: Ctes = {**PROMPTS_V1, **encoded("prompts", "prompt", "ex_id, copy_id", q.VOCAB, q.LENGTH)}
 
 
-def document_ids(length: int = q.LENGTH) -> Ctes:
+#: words of the longest text
+LONGEST = "(select max(len(words)) from lists)"
+
+
+def document_ids(length: int | str = q.LENGTH) -> Ctes:
     return encoded("documents", "text", "doc_id", q.DOCUMENT_VOCAB, length)
 
 
@@ -220,12 +224,12 @@ SWITCHED_OFF: Ctes = {
 }
 
 
-def split_cte() -> str:
+def split_cte(source: str = "examples", key: str = "ex_id") -> str:
     return f"""
-        select ex_id, case when row_number() over (order by md5(concat_ws('|', '{q.SEED}', ex_id)), ex_id)
+        select {key}, case when row_number() over (order by md5(concat_ws('|', '{q.SEED}', {key})), {key})
                  <= ceil(cast(count(*) over () as double) * cast({q.TEST_SIZE} as double))
                then 'test' else 'train' end as split
-        from examples"""
+        from (select distinct {key} from {source})"""
 
 
 def places(source: str, epochs: int = q.EPOCHS) -> str:
@@ -247,6 +251,18 @@ def batch_places(source: str, batch: int = q.BATCH, world: int = q.WORLD, accum:
 
 PLACES: Ctes = {**COPIES, "places": places("copies"), "batches": batch_places("places")}
 
+# documents keyed by their text: many equal keys, and every tenth one null
+EQUAL_ROWS: Ctes = {
+    "keyed": f"select case when doc_id % 10 <> 0 then {content_hash(['text'])} end as ex_id from documents",
+    "copies": copies_of("keyed"),
+    "places": places("copies"),
+}
+
+SPECIAL_IDS = f"""
+    select case when d.doc_id % 10 <> 0 then source end as source,
+           {text_of(f'list_concat([{BOS_ID}], list_concat(ids, [{EOS_ID}]))')} as ids
+    from encoded e join documents d on e.doc_id = d.doc_id"""
+
 _SWITCH_ROWS = "instruction, input, output from examples"
 
 ORACLE: dict[str, str] = {
@@ -265,9 +281,9 @@ ORACLE: dict[str, str] = {
         " from copies c join marked m on c.ex_id = m.ex_id",
     ),
     "row_keys": f"""
-        select concat_ws('-', {content_hash(['role', 'text'])},
-                         row_number() over (partition by role, text) - 1) as ex_id, role, text
-        from conversations""",
+        select concat_ws('-', {content_hash(['text'])},
+                         row_number() over (partition by text) - 1) as ex_id, text
+        from documents""",
     "skip_absent_column": query(
         COPIES, varied_columns("copies", {"instruction": ["Instruction:", "Task:"]})
     ),
@@ -325,16 +341,18 @@ ORACLE: dict[str, str] = {
     "build_vocab_documents": query(document_ids(), "select tok, id from vocab"),
     "encode_words": query(IDS, f"select ex_id, copy_id, {text_of('ids')} as ids from encoded"),
     "encode_words_shuffled": query(IDS, f"select ex_id, copy_id, {text_of('ids')} as ids from encoded"),
+    "encode_words_special_ids": query(document_ids(q.LENGTH - 2), SPECIAL_IDS),
+    "encode_words_shuffled_special_ids": query(document_ids(q.LENGTH - 2), SPECIAL_IDS),
     "truncate": query(document_ids(), f"select doc_id, {text_of('ids')} as ids from encoded"),
     "pad_max_length": query(
-        document_ids(),
-        f"select doc_id, {text_of(f'list_concat({filled(PAD_ID, f"{q.LENGTH} - len(ids)")}, ids)')} as pad_left,"
-        f" {text_of(padded(q.LENGTH))} as pad_right from encoded",
+        document_ids(LONGEST),
+        f"select doc_id, {text_of(f'list_concat({filled(PAD_ID, f"{LONGEST} - len(ids)")}, ids)')} as pad_left,"
+        f" {text_of(padded(LONGEST))} as pad_right from encoded",
     ),
     "pad_longest": query(
         {
             **PROMPTS_V2,
-            **encoded("prompts", "prompt", "ex_id, copy_id", q.VOCAB, 2 * q.LENGTH),
+            **encoded("prompts", "prompt", "ex_id, copy_id", q.VOCAB, q.LENGTH),
             "places": places("copies", 1),
             "batches": batch_places("places", 4, 2, 1),
             "grouped": """
@@ -345,19 +363,19 @@ ORACLE: dict[str, str] = {
         f" {text_of(masked('longest'))} as attention_mask from grouped",
     ),
     "attention_mask": query(
-        document_ids(),
-        f"select doc_id, {text_of(f'list_concat({filled(0, f"{q.LENGTH} - len(ids)")}, {filled(1, "len(ids)")})')}"
-        f" as mask_left, {text_of(masked(q.LENGTH))} as mask_right from encoded",
+        document_ids(LONGEST),
+        f"select doc_id, {text_of(f'list_concat({filled(0, f"{LONGEST} - len(ids)")}, {filled(1, "len(ids)")})')}"
+        f" as mask_left, {text_of(masked(LONGEST))} as mask_right from encoded",
     ),
     "mask_labels": query(
-        document_ids(), f"select doc_id, {text_of(labelled(padded(q.LENGTH)))} as labels from encoded"
+        document_ids(LONGEST), f"select doc_id, {text_of(labelled(padded(LONGEST)))} as labels from encoded"
     ),
     "pad_token_fallback": query(
         {
-            **document_ids(q.LENGTH - 1),
+            **document_ids(LONGEST),
             "ended": f"select doc_id, list_concat(ids, [{EOS_ID}]) as ids from encoded",
         },
-        f"select doc_id, {finished(q.LENGTH, EOS_ID)} from ended",
+        f"select doc_id, {finished(LONGEST + ' + 1', EOS_ID)} from ended",
     ),
     "augment_report": query(
         COPIES,
@@ -375,6 +393,17 @@ ORACLE: dict[str, str] = {
             from copies""",
     ),
     "epoch_shuffle": query(PLACES, "select ex_id, copy_id, epoch, position from places"),
+    "epoch_shuffle_equal_rows": query(
+        EQUAL_ROWS, "select ex_id, copy_id, epoch, position from places"
+    ),
+    "renumber_equal_rows": query(
+        EQUAL_ROWS,
+        "select row_number() over (order by copy_id, ex_id nulls first) - 1 as row_index, ex_id, copy_id from copies",
+    ),
+    "train_test_split_equal_rows": query(
+        {"marked": split_cte("documents", "source")},
+        "select doc_id, d.source, split from documents d join marked m on d.source is not distinct from m.source",
+    ),
     "assign_batches": query(PLACES, "select ex_id, copy_id, epoch, rank, micro, step, slot from batches"),
     "collate_causal_lm": query(
         {

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from loomfeed.operators.augment import COLUMN_WORDS, SLOT_WORDS, augment, replicate, vary_slots
 from loomfeed.operators.checks import REQUIRED, require_columns
 from loomfeed.operators.keys import row_keys
 from loomfeed.operators.prompts import prompt_full, prompt_optional_input
+from loomfeed.operators.report import observe_report
 from loomfeed.operators.tokens import finish_ids, tokenize_batches
 from loomfeed.operators.vocab import PAD_ID, encode_words
 
@@ -36,9 +37,16 @@ def render_v2(
     variations: Mapping[str, Sequence[str]] = COLUMN_WORDS,
     seed: int = 42,
     null_literal: str | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """``(ex_id, copy_id, prompt)``: augmented where switched on, input line optional."""
+    """``(ex_id, copy_id, prompt)``: augmented where switched on, input line optional.
+
+    ``observation`` gets the row counts before and after augmentation with the
+    first job that uses the result.
+    """
     varied = augment(_keyed(df), apply, repeat_count, variations, seed, null_literal)
+    if observation is not None:
+        varied = observe_report(varied, observation)
     return prompt_optional_input(varied).select("ex_id", "copy_id", "prompt")
 
 
@@ -83,7 +91,8 @@ def prepare_v2(
     null_literal: str | None = None,
     pad_id: int | None = PAD_ID,
     eos_id: int | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """``(ex_id, copy_id, input_ids, attention_mask, labels)``."""
-    prompts = render_v2(df, apply, repeat_count, variations, seed, null_literal)
+    prompts = render_v2(df, apply, repeat_count, variations, seed, null_literal, observation)
     return finish_ids(encode(prompts, max_length, vocab, tokenizer_json), max_length, pad_id, eos_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,12 +15,13 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
     A machine-local folder is used only where the setting is absent *and* the
-    session runs in one process.
+    master is ``local`` or ``local[...]``, one process on one machine, as in tests;
+    a ``local-cluster`` has several processes and needs the setting.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a folder that every executor can reach"
         )

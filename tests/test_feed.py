@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from loomfeed.operators import position
-from loomfeed.operators.augment import replicate
+from loomfeed.operators.augment import renumber, replicate
 from loomfeed.operators.feed import assign_batches, collate, epochs, split, split_by_hash
 from loomfeed.operators.position import hashed_position, ordered_position
 from loomfeed.operators.report import augment_report, observe_report
@@ -71,11 +71,11 @@ def test_epochs_carry_other_columns(spark):
     assert len(got) == 40 * 2 * 2 and all(r.payload == r.ex_id * 10 for r in got)
 
 
-@pytest.mark.parametrize("limit", [262_144, 300, 10])
-def test_hashed_position_for_any_bucket_limit(spark, monkeypatch, limit):
-    monkeypatch.setattr(position, "MAX_BUCKETS", limit)
+@pytest.mark.parametrize("rows", [65_536, 100, 3])
+def test_hashed_position_for_any_bucket_size(spark, monkeypatch, rows):
+    monkeypatch.setattr(position, "BUCKET_ROWS", rows)
     df = spark.range(1000).select("id", (F.col("id") % 7).cast("int").alias("g"))
-    out = hashed_position(df, F.md5(F.col("id").cast("string")), ["id"], "g", 7).collect()
+    out = hashed_position(df, F.md5(F.col("id").cast("string")), ["id"], "g").collect()
     for g in range(7):
         ids = sorted((i for i in range(1000) if i % 7 == g), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
         assert {r.id: r.position for r in out if r.g == g} == {i: p for p, i in enumerate(ids)}
@@ -114,6 +114,45 @@ def test_collate(spark):
             assert b.labels[slot] == [-100 if i == 0 else i for i in r.input_ids]
 
 
+EQUAL = [("a", 0), ("a", 0), ("a", 0), (None, 0), (None, 0), ("b", None)]
+
+
+def test_epochs_keep_rows_with_equal_and_null_keys(spark):
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(EQUAL)], "ex_id string, copy_id int, payload int")
+    for rows in (df, df.drop("payload")):
+        got = epochs(rows, 2).collect()
+        assert Counter((r.ex_id, r.copy_id, r.epoch) for r in got) == Counter((*k, e) for k in EQUAL for e in (0, 1))
+        for e in (0, 1):
+            assert sorted(r.position for r in got if r.epoch == e) == list(range(len(EQUAL)))
+    batches = collate(assign_batches(epochs(df.withColumns({"input_ids": F.array(F.lit(1)), "attention_mask": F.array(F.lit(1))}), 2), 2))
+    assert max(len(r.ex_id) for r in batches.collect()) == 2
+
+
+def test_no_join_on_the_users_key(spark):
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(EQUAL)], "ex_id string, copy_id int, payload int")
+    for out in (epochs(df, 2), renumber(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line]
+        assert joins and not any("ex_id" in line or "copy_id" in line for line in joins)
+
+
+def test_renumber_equal_and_null_keys(spark):
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(EQUAL)], "ex_id string, copy_id int, payload int")
+    got = sorted(renumber(df).collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in got] == list(range(len(EQUAL)))
+    assert [(r.copy_id, r.ex_id) for r in got] == [(None, "b"), (0, None), (0, None), (0, "a"), (0, "a"), (0, "a")]
+    assert sorted(r.payload for r in got) == list(range(len(EQUAL)))
+
+
+def test_split_counts_distinct_examples(spark):
+    df = spark.createDataFrame([("hot",)] * 50 + [(f"k{i}",) for i in range(18)] + [(None,)] * 3, "ex_id string")
+    got = split(df, 0.1, 1).collect()
+    assert len(got) == 71
+    sides = {k: {r.split for r in got if r.ex_id == k} for k in {r.ex_id for r in got}}
+    assert all(len(s) == 1 for s in sides.values())
+    assert sum(s == {"test"} for s in sides.values()) == 2
+
+
 def test_report(spark):
     df = table(spark, 12, 3)
     assert augment_report(df).first().asDict() == {"rows_before": 12, "rows_after": 36}

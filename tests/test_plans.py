@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from loomfeed import session
@@ -17,7 +18,7 @@ with p as (
 s as (
   select conv_id, min(text) sys from conversations
   where role = 'system' group by conv_id)
-select p.conv_id * 1000 + p.turn as ex_id,
+select concat_ws('-', p.conv_id, p.turn) as ex_id,
        case when p.conv_id % 5 = 0 then p.text
             else concat('Instruction: ', p.text) end as instruction,
        case when s.sys is not null
@@ -64,10 +65,25 @@ def test_examples_with_one_long_conversation(spark, tmp_path, chunk):
     long.unionByName(other).write.parquet(str(tmp_path / "conversations.parquet"))
     got = examples_from_conversations(spark, str(tmp_path), chunk)
     want = plain(spark, str(tmp_path))
-    assert want.count() > 500
+    assert want.count() > 500 and got.select("ex_id").distinct().count() == got.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_examples_without_a_conversation(spark, tmp_path):
+    rows = [(None, 0, "user", "q"), (None, 1, "assistant", "a"), (1, 0, "user", "q"), (1, 1, "assistant", "b")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.write.parquet(str(tmp_path / "conversations.parquet"))
+    got, want = examples_from_conversations(spark, str(tmp_path)), plain(spark, str(tmp_path))
+    assert got.count() == 2 and got.exceptAll(want).count() == 0
+
+
+def test_prepare_reports_counts(spark):
+    df, seen = spark.createDataFrame(ROWS, SCHEMA), Observation()
+    vocab = checkpoint(build_vocab(render_v2(df), size=20))
+    prepare_v2(df, vocab, max_length=8, observation=seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows_before": 3, "rows_after": 9}
+
+
 def test_rendering_drops_source_columns_and_keeps_equal_rows(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     for out in (render_v1(df), render_v2(df)):

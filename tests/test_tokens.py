@@ -81,12 +81,38 @@ def test_only_rare_words_are_joined(spark, table, vocab):
     """A word that makes up a third of the text is looked up, known or not."""
     for hot in ("a", "unknown"):
         df = replicate(spark.createDataFrame([(1, f"{hot} b c " * 100), (2, "d e")], "ex_id long, prompt string"), 1)
-        words_col = arrays.words(F.col("prompt"), 1000)
-        often = {r.tok: r.id for r in _frequent(df, vocab, words_col, UNK_ID, 4).collect()}
+        rows = df.withColumn("_words", arrays.words(F.col("prompt"), 1000))
+        often = {r.tok: r.id for r in _frequent(rows, vocab, UNK_ID, 4).collect()}
         ids = vocab_dict(vocab)
         assert often == {w: ids.get(w, UNK_ID) for w in (hot, "b", "c")}
 
 
+@pytest.mark.parametrize("inline", [1 << 20, 0])
+def test_encode_words_never_looks_at_keys(spark, vocab, inline):
+    rows = [("k", "a b"), ("k", "c zz a"), (None, "b b"), (None, ""), ("k", "a b"), ("long", "x" * 400 + " a")]
+    df = spark.createDataFrame(rows, "ex_id string, prompt string")
+    got = encode_words(df, vocab, 8, max_inline_bytes=inline, frequent_words=2, bos_id=1, eos_id=2)
+    ids = vocab_dict(vocab)
+    want = sorted((k or "", t, [1, *[ids.get(w, UNK_ID) for w in t.split()], 2]) for k, t in rows)
+    assert sorted((r.ex_id or "", r.prompt, r.ids) for r in got.collect()) == want
+    cut = encode_words(df, vocab, 3, max_inline_bytes=inline, frequent_words=2, bos_id=1, eos_id=2)
+    assert max(len(r.ids) for r in cut.collect()) == 3
+    with pytest.raises(ValueError, match="no room"):
+        encode_words(df, vocab, 1, bos_id=1, eos_id=2)
+
+
+def test_streams_encode_inline_or_fail_before_any_job(spark, vocab, tmp_path):
+    spark.createDataFrame([("a b zz",)], "prompt string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("prompt string").parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="stream"):
+        encode_words(stream, vocab, 8, max_inline_bytes=0)
+    out = encode_words(stream, vocab, 8)
+    query = out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+    query.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    ids = vocab_dict(vocab)
+    assert spark.read.parquet(str(tmp_path / "out")).first().ids == [ids.get(w, UNK_ID) for w in ("a", "b", "zz")]
+
+
 def test_tokenizer_equals_relational(table, vocab):
     for batch_rows in (1, 4, 1000):
         got = tokenize_batches(table, word_level_json(vocab), 8, batch_rows=batch_rows)
