@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,17 +96,49 @@ def unique_names(raw: Sequence[str | None]) -> tuple[str, ...]:
     return tuple(names)
 
 
-def csv_layout(spark: SparkSession, path: str, multi_line: bool = True) -> CsvLayout:
-    """Read the header at ``path``: two one-row jobs."""
-    first = spark.read.options(**_dialect(multi_line)).csv(path).first()
-    raw = tuple(first) if first else ()
-    names = unique_names(raw)
+def line_ends(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """The files at ``path`` by line separator: ``"\\r\\n"``, or None for Spark's default.
+
+    The header line of each file decides. Only lines of first blocks are looked
+    at, and one row per file comes to the driver, which lists the files anyway.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
+    )
+    first = (
+        lines.filter("at = 0")
+        .select("file", F.monotonically_increasing_id().alias("nth"), "value")
+        .groupBy("file")
+        .agg(F.min_by("value", "nth").alias("header"))
+    )
+    found: dict[str | None, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        header = row["header"]
+        sep = "\r\n" if header.find("\r") == len(header) - 1 >= 0 else None
+        found.setdefault(sep, []).append(_as_path(row["file"]))
+    return found
+
+
+def _as_path(uri: str) -> str:
+    """A path to read exactly this file: escapes undone, pattern characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def csv_layout(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> CsvLayout:
+    """Read the header at ``path``. Files there must agree in how their lines end,
+    which :func:`read_examples` sees to and a stream needs."""
+    paths = [path] if isinstance(path, str) else list(path)
     line_sep = None
     if multi_line:
         # Spark would turn CRLF inside quotes to LF unless told the separator
-        line = spark.read.option("lineSep", "\n").text(path).first()
-        if line and line[0].find("\r") == len(line[0]) - 1 >= 0:
-            line_sep = "\r\n"
+        ends = {sep for p in paths for sep in line_ends(spark, p)}
+        if len(ends) > 1:
+            raise ValueError(f"files with different line ends at {path}: give a stream files of one kind")
+        line_sep = ends.pop() if ends else None
+    options = {**_dialect(multi_line), **({"lineSep": line_sep} if line_sep else {})}
+    first = spark.read.options(**options).csv(paths).first()
+    raw = tuple(first) if first else ()
+    names = unique_names(raw)
     return CsvLayout(names, multi_line, line_sep, regular=names == raw)
 
 
@@ -139,14 +173,21 @@ def read_examples(
 ) -> DataFrame:
     """Read instruction CSV file(s) with a header.
 
+    Files with CRLF and with LF line ends are read each in its own way, in any
+    mix. Files whose lines end alike must have one header.
+
     ``multi_line`` allows line breaks inside quotes; Spark cannot cut such a
     file into several tasks, so give ``spread`` (a partition count) where the
     input is a few big files, or ``multi_line=False`` where no value holds a
     line break.
     """
     try:
-        layout = csv_layout(spark, path, multi_line).require(required)
-        raw = spark.read.options(**layout.options).schema(layout.schema).csv(path)
+        kinds = list(line_ends(spark, path).values()) if multi_line else []
+        raw = None
+        for files in kinds or [[path]]:
+            layout = csv_layout(spark, files, multi_line).require(required)
+            part = spark.read.options(**layout.options).schema(layout.schema).csv(files)
+            raw = part if raw is None else raw.unionByName(part)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             logger.error("no such input: %s", path)

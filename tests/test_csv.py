@@ -176,3 +176,17 @@ def test_stream_fails_on_other_header(spark, tmp_path):
 def test_stream_needs_columns(spark, tmp_path):
     with pytest.raises(ValueError, match="'output'"):
         stream_examples(spark, str(tmp_path), CsvLayout(("instruction", "input")))
+
+
+@pytest.mark.parametrize("first, second", [("\n", "\r\n"), ("\r\n", "\n")])
+def test_files_with_different_line_ends(spark, tmp_path, first, second):
+    folder = tmp_path / "mixed 1"
+    folder.mkdir()
+    for name, end in (("a b.csv", first), ("b.csv", second)):
+        text = HEADER.replace("\n", end) + f'{name},y,"c\r\nd"{end}{name},y,"c\nd"{end}'
+        (folder / name).write_bytes(text.encode())
+    pattern = str(tmp_path / "mixed*")
+    got = sorted(values(read_examples(spark, pattern)))
+    assert got == [(n, "y", t) for n in ("a b.csv", "b.csv") for t in ("c\nd", "c\r\nd")]
+    with pytest.raises(ValueError, match="line ends"):
+        stream_examples(spark, pattern)
