@@ -12,7 +12,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from loomfeed.plans import catalog as q  # noqa: E402
-from loomfeed.operators import tokenize_batches, word_level_json  # noqa: E402
 from loomfeed.operators.tokens import finish_ids  # noqa: E402
 from loomfeed.plans.prepare import prepare_v1, prepare_v2, render_v1, render_v2  # noqa: E402
 from loomfeed.session import builder, checkpoint  # noqa: E402
@@ -47,24 +46,24 @@ def main():
 
     examples = stored(q.examples(spark, SF_DIR))
     vocab = q.vocab_of(render_v2(examples), VOCAB)
-    model = word_level_json(vocab)
     ready = stored(prepare_v2(examples, vocab, max_length=LENGTH))
     rows = examples.count()
     docs = stored(
         q.documents(spark, SF_DIR).select(F.col("doc_id").alias("ex_id"), F.lit(0).alias("copy_id"), "text")
     )
     doc_vocab = q.vocab_of(docs, VOCAB, "text")
-    doc_model = word_level_json(doc_vocab)
 
     def encode_documents():
         ids = q.encode_words(docs, doc_vocab, LENGTH, text="text").drop("text")
         return finish_ids(ids, LENGTH, 0)
 
-    def tokenize_documents():
-        return finish_ids(tokenize_batches(docs, doc_model, LENGTH, text="text"), LENGTH, 0)
+    def encode_shuffled():
+        prompts = render_v2(examples, repeat_count=q.COPIES)
+        ids = q.encode_words(prompts, vocab, LENGTH, max_inline_bytes=0).drop("prompt")
+        return finish_ids(ids, LENGTH, 0)
 
-    def feed():
-        return q.assign_batches(q.epochs(ready.select(*q.KEY), q.EPOCHS), q.BATCH, q.WORLD, q.ACCUM)
+    def feed(n=q.EPOCHS):
+        return q.assign_batches(q.epochs(ready.select(*q.KEY), n), q.BATCH, q.WORLD, q.ACCUM)
 
     def collated():
         fed = q.assign_batches(q.epochs(ready.drop("labels"), q.EPOCHS), q.BATCH, q.WORLD, q.ACCUM)
@@ -76,18 +75,19 @@ def main():
         "render_v2": lambda: render_v2(examples),
         "prepare_v1": lambda: prepare_v1(examples, vocab, max_length=LENGTH),
         "prepare_v2": lambda: prepare_v2(examples, vocab, max_length=LENGTH),
-        "prepare_v2_tokenizer": lambda: prepare_v2(examples, tokenizer_json=model, max_length=LENGTH),
         "prepare_v2_many": lambda: prepare_v2(examples, vocab, max_length=LENGTH, repeat_count=MANY),
-        "prepare_v2_tokenizer_many": lambda: prepare_v2(
-            examples, tokenizer_json=model, max_length=LENGTH, repeat_count=MANY
-        ),
         "build_vocab_documents": lambda: q.build_vocab(docs, "text", VOCAB),
         "encode_documents": encode_documents,
-        "tokenize_documents": tokenize_documents,
+        "encode_shuffled": encode_shuffled,
+        "prepare_v2_from_csv": lambda: q.prepare_dataset_v2_from_csv(spark, SF_DIR),
+        "row_keys": lambda: q.row_keys(docs.select("text")),
+        "stream_csv": lambda: q.stream_instruction_csv(spark, SF_DIR),
+        "write_examples": lambda: q.write_examples_parquet(spark, SF_DIR),
         "scan_csv": lambda: q.scan_instruction_csv(spark, SF_DIR),
         "renumber": lambda: q.renumber(ready.select(*q.KEY)),
         "train_test_split": lambda: q.split(ready, q.TEST_SIZE),
         "epochs_and_batches": feed,
+        "epochs_12": lambda: feed(12),
         "collate": collated,
     }
     seconds = {}
