@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeed.functions.text import as_column
+from loomfeed.functions.text import as_column, quoted
 from loomfeed.operators.checks import REQUIRED, missing_columns
+from loomfeed.sources.records import inside_after, read_records
 
 logger = logging.getLogger(__name__)
 
@@ -96,11 +97,11 @@ def unique_names(raw: Sequence[str | None]) -> tuple[str, ...]:
     return tuple(names)
 
 
-def line_ends(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
-    """The files at ``path`` by line separator: ``"\\r\\n"``, or None for Spark's default.
+def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """The first line of each file at ``path``.
 
-    The header line of each file decides. Only lines of first blocks are looked
-    at, and one row per file comes to the driver, which lists the files anyway.
+    Only lines of first blocks are looked at, and one row per file comes to the
+    driver, which lists the files anyway.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
@@ -111,14 +112,27 @@ def line_ends(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
         .groupBy("file")
         .agg(F.min_by("value", "nth").alias("header"))
     )
+    return {_as_path(r["file"]): r["header"] for r in first.orderBy("file").collect()}
+
+
+def line_ends(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """The files at ``path`` by line separator: ``"\\r\\n"``, or None for Spark's default."""
     found: dict[str | None, list[str]] = {}
-    for row in first.orderBy("file").collect():
-        header = row["header"]
-        sep = "\r\n" if header.find("\r") == len(header) - 1 >= 0 else None
-        found.setdefault(sep, []).append(_as_path(row["file"]))
+    for file, header in first_lines(spark, path).items():
+        found.setdefault(_line_sep(header), []).append(file)
     return found
 
 
+def _line_sep(header: str) -> str | None:
+    """The header line of a file decides."""
+    return "\r\n" if header.find("\r") == len(header) - 1 >= 0 else None
+
+
+def _can_cut(header: str) -> bool:
+    """Whether lines end with a line feed, and the header is one line."""
+    return "\r" not in header.removesuffix("\r") and not inside_after(header.removesuffix("\r"), False)
+
+
 def _as_path(uri: str) -> str:
     """A path to read exactly this file: escapes undone, pattern characters escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
@@ -163,6 +177,31 @@ def clean_rows(df: DataFrame, na_words: Sequence[str] = NA_WORDS) -> DataFrame:
     return df.filter(kept).select(*[normalize_missing(n, na_words).alias(n) for n in names])
 
 
+def _whole_files(spark: SparkSession, files: Sequence[str], layout: CsvLayout) -> DataFrame:
+    return spark.read.options(**layout.options).schema(layout.schema).csv(list(files))
+
+
+def _cut_files(spark: SparkSession, files: Sequence[str], layout: CsvLayout, sep: str | None) -> DataFrame:
+    """The same cells, read by many tasks per file."""
+    records = read_records(spark, files, crlf=sep is not None)
+    is_header = (F.col("place.block") == 0) & (F.col("place.nth") == 0)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _dialect(True).items()}
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    cells = F.from_csv("text", ", ".join(f"{quoted(n)} string" for n in layout.schema.names), options)
+    if layout.regular:
+        names = F.array(*[F.lit(n) for n in layout.names])
+        text = F.regexp_replace("text", "^\ufeff", "")
+        wide = ", ".join(f"c{i} string" for i in range(len(layout.names) + 1))
+        found = F.from_csv(text, wide, {k: v for k, v in options.items() if k in ("quote", "escape", "multiLine")})
+        same = F.array_compact(F.array(*[found[f"c{i}"] for i in range(len(layout.names) + 1)])) == names
+        message = F.concat(F.lit(f"CSV header differs from {list(layout.names)}: "), F.col("text"))
+        kept = F.when(is_header & ~same, F.raise_error(message).cast("boolean")).otherwise(~is_header)
+    else:
+        kept = ~is_header
+    rows = records.filter(kept).filter(F.col("text") != "")
+    return rows.select(cells.alias("_cells")).select("_cells.*")
+
+
 def read_examples(
     spark: SparkSession,
     path: str,
@@ -176,17 +215,19 @@ def read_examples(
     Files with CRLF and with LF line ends are read each in its own way, in any
     mix. Files whose lines end alike must have one header.
 
-    ``multi_line`` allows line breaks inside quotes; Spark cannot cut such a
-    file into several tasks, so give ``spread`` (a partition count) where the
-    input is a few big files, or ``multi_line=False`` where no value holds a
-    line break.
+    ``multi_line`` allows line breaks inside quotes. Files are cut into tasks all
+    the same (see ``records``), but for files whose lines end with a carriage
+    return alone or whose header has a line break: those are one task each, so
+    give ``spread`` (a partition count) where they are big.
     """
     try:
-        kinds = list(line_ends(spark, path).values()) if multi_line else []
+        kinds: dict[tuple, list[str]] = {}
+        for file, header in first_lines(spark, path).items() if multi_line else ():
+            kinds.setdefault((_line_sep(header), _can_cut(header)), []).append(file)
         raw = None
-        for files in kinds or [[path]]:
+        for (sep, cut), files in kinds.items() or [((None, False), [path])]:
             layout = csv_layout(spark, files, multi_line).require(required)
-            part = spark.read.options(**layout.options).schema(layout.schema).csv(files)
+            part = _cut_files(spark, files, layout, sep) if cut else _whole_files(spark, files, layout)
             raw = part if raw is None else raw.unionByName(part)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":

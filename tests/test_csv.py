@@ -190,3 +190,22 @@ def test_files_with_different_line_ends(spark, tmp_path, first, second):
     assert got == [(n, "y", t) for n in ("a b.csv", "b.csv") for t in ("c\nd", "c\r\nd")]
     with pytest.raises(ValueError, match="line ends"):
         stream_examples(spark, pattern)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", ["17", "64", "100000"])
+def test_records_across_splits(spark, tmp_path, end, size):
+    rows = [(f"i{i}", "x\ny, z" * (i % 4), f'say "{i}"\n\n,"end' if i % 3 else f"o{i}") for i in range(30)]
+    rows.append(("long", "line\n" * 100, "o"))
+    lines = [",".join('"' + c.replace('"', '""') + '"' if "\n" in c or '"' in c else c for c in r) for r in rows]
+    (tmp_path / "a.csv").write_bytes(end.join([HEADER.strip(), *lines, ""]).encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = read_examples(spark, str(tmp_path / "a.csv"))
+        assert sorted(values(df)) == sorted((a, b or None, c) for a, b, c in rows)
+        assert size == "100000" or df.rdd.getNumPartitions() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
