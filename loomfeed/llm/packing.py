@@ -12,16 +12,16 @@ rests is spread over tasks. Token ids never move: only keys are shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomfeed.llm.common import batch_of, map_arrow, raw_texts, store
+from loomfeed.llm.common import batch_of, raw_texts, slices, store
 from loomfeed.llm.cutting_stock import patterns
-from loomfeed.llm.tokens import encoder
+from loomfeed.llm.tokens import Encoder, borrowed
 
 LENGTH = 1024
 UNIT = 8
@@ -41,8 +41,8 @@ def pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
     kind = docs.schema[key].dataType.simpleString()
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = encoder(tokenizer).encode([bytes(t).decode() for t in raw_texts(batch.column(2))])
+    def cut(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+        found = encoder.encode([bytes(t).decode() for t in raw_texts(batch.column(2))])
         at, starts, sizes, totals, ids = [], [], [], [], []
         for i, tokens in enumerate(found):
             tokens += end
@@ -60,13 +60,19 @@ def pieces(
         )
         rows = pa.array(at, pa.int64())
         columns = [batch.column(0).take(rows), batch.column(1).take(rows), starts, sizes, totals, ids]
-        yield batch_of(schema, columns)
+        return batch_of(schema, columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with borrowed(tokenizer) as encoder:
+            for batch in batches:
+                for some in slices(batch, "text"):
+                    yield cut(some, encoder)
 
     rows = docs.select(
         F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text")
     )
     schema = f"key {kind}, row long, start long, length long, doc_tokens long, ids binary"
-    return store(map_arrow(rows, run, schema, "text").withColumnRenamed("key", key), "pieces")
+    return store(rows.mapInArrow(run, schema).withColumnRenamed("key", key), "pieces")
 
 
 def place(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

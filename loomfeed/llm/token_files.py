@@ -37,7 +37,7 @@ from loomfeed.llm.common import (
     store,
     write_file,
 )
-from loomfeed.llm.tokens import encoder
+from loomfeed.llm.tokens import borrowed
 
 MAGIC = b"LFRANS1\n"
 HEAD = struct.Struct("<IIQQIII")
@@ -81,17 +81,18 @@ def segments(
             sizes = [len(d) // 4 for d in data]
             return batch_of(schema, [[part], [number], [before], [keys], [sizes], [packed]])
 
-        for batch in batches:
-            for some in slices(batch, "text"):
-                texts = [bytes(t).decode() for t in raw_texts(some.column(2))]
-                for k, ids in zip(some.column(0).to_pylist(), encoder(tokenizer).encode(texts), strict=True):
-                    keys.append(k)
-                    data.append(ids + end)
-                    held += len(data[-1]) // 4
-                    if held >= file_ids:
-                        yield flush()
-                        number, before, held = number + 1, before + held, 0
-                        keys, data = [], []
+        with borrowed(tokenizer) as encoder:
+            for batch in batches:
+                for some in slices(batch, "text"):
+                    texts = [bytes(t).decode() for t in raw_texts(some.column(2))]
+                    for k, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                        keys.append(k)
+                        data.append(ids + end)
+                        held += len(data[-1]) // 4
+                        if held >= file_ids:
+                            yield flush()
+                            number, before, held = number + 1, before + held, 0
+                            keys, data = [], []
         if keys:
             yield flush()
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -111,6 +112,16 @@ def _line(text: str) -> list[str]:
     return pieces[:1] + [" " + p for p in pieces[1:]] if pieces[0] else [" " + p for p in pieces[1:]]
 
 
+@contextmanager
+def borrowed(path: str) -> Iterator[Encoder]:
+    """The worker's encoder for one task; the pieces it remembers go with the task."""
+    one = encoder(path)
+    try:
+        yield one
+    finally:
+        one.memory = {}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and file."""
