@@ -7,8 +7,8 @@ Lists are fitted by k-means on a bounded sample and every vector is put into its
 nearest list. A query probes its nearest lists; within each the coordinates are
 scanned in column blocks, and after each block the candidates whose partial
 distance fails a hypothesis test against the query's limit are given up. The
-limit is the distance of the k-th best of the sample, which is an upper bound of
-the k-th best of all. Survivors are scored exactly on the original vectors.
+limit is the distance of the 2(k+1)-th best sample vector in the probed lists,
+an upper bound of the k-th best there. Survivors are scored exactly on the original vectors.
 
 Equal vectors are one entry. An entry carries its ``k + 1`` smallest ids; no
 further copy can be in a result of ``k``, so nothing is lost.
@@ -62,14 +62,15 @@ class Index:
     def nearest_list(self, turned: np.ndarray) -> np.ndarray:
         return _distances(turned, self.centers).argmin(axis=1)
 
-    def limit(self, queries: np.ndarray, k: int) -> np.ndarray:
-        """Distance of each query's k-th best sample vector; infinite if there are fewer."""
+    def limit(self, queries: np.ndarray, probes: list[list[int]], k: int) -> np.ndarray:
+        """Distance of each query's k-th best sample vector in the lists it probes; infinite if there are fewer."""
         if len(self.sample) < k:
             return np.full(len(queries), np.inf)
+        own = self.nearest_list(self.sample)
         out = np.empty(len(queries))
-        for at in range(0, len(queries), 256):
-            d = _distances(queries[at : at + 256], self.sample)
-            out[at : at + 256] = np.partition(d, k - 1, axis=1)[:, k - 1]
+        for i, lists in enumerate(probes):
+            near = _distances(queries[i : i + 1], self.sample[np.isin(own, lists)])[0]
+            out[i] = np.partition(near, k - 1)[k - 1] if len(near) >= k else np.inf
         return out * (1 + 1e-9) + 1e-12
 
 
@@ -224,7 +225,8 @@ def search(
             enough = (np.cumsum(counts[order], axis=1) < 4 * (k + 1)).sum(axis=1) + 1
             probes = [o[: max(index.probes, n)].tolist() for o, n in zip(order, enough, strict=True)]
             names = ["query", "vec", "limit", "lists"]
-            limits = pa.array(index.limit(turned, k + 1))
+            # twice as many as wanted, so that a few wrong rejections leave enough
+            limits = pa.array(index.limit(turned, probes, 2 * (k + 1)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, limits, pa.array(probes, pa.list_(pa.int32()))], names=names
             )
