@@ -1,8 +1,9 @@
 import random
 
+import corpus_pipeline
 import pytest
 
-from loomfeed.llm import simhash, substrings
+from loomfeed.llm import near_copies, simhash, substrings
 from loomfeed.llm.automaton import SuffixAutomaton
 from loomfeed.llm.components import components
 from tests.llm import brute
@@ -115,3 +116,42 @@ def test_repeats_equal_brute_force(spark, hot):
 def test_repeats_of_an_empty_table(spark):
     found = substrings.remove_repeats(spark.createDataFrame([], DOCS))
     assert found.count() == 0 and found.columns[-2:] == ["n_words", "n_removed"]
+
+
+def test_near_copies_with_edited_words_are_found(spark):
+    rng = random.Random(8)
+    texts = []
+    for size, edits in [(200, 1), (200, 3), (60, 1), (500, 8), (300, 0), (200, 30)] * 4:
+        words = prose(rng, size).split()
+        texts.append(" ".join(words))
+        for at in rng.sample(range(5, size - 5), edits):
+            words[at] = "edited"
+        texts.append(" ".join(words))
+    texts += ["a b", "A  b", "a b c", None, "", " "]
+
+    def shingles(text):
+        words = brute.WORD.findall(brute.lower(text))
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    roots = brute.components([shingles(t) for t in texts], lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert len(set(roots)) < len(texts) - 16
+    docs = spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], DOCS)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+    assert kept.columns == docs.columns
+
+
+def test_long_lists_of_near_copies(spark):
+    rng = random.Random(9)
+    base = prose(rng, 400).split()
+    texts = []
+    for i in range(60):
+        words = list(base)
+        words[rng.randrange(400)] = f"e{i}"
+        texts.append(" ".join(words))
+    texts += [prose(rng, 400) for _ in range(5)]
+    docs = spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], DOCS)
+    for longest in (4, 64):
+        kept = near_copies.keep_one(docs, longest=longest)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 60, 61, 62, 63, 64]
+    assert near_copies.keep_one(docs.filter("false")).count() == 0
