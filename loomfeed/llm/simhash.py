@@ -160,11 +160,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component: that with the smallest key (null keys last).
 
-    Rows are told apart by their place, so rows with null or repeated keys are
-    rows like any others. ``docs`` is read twice and must be a stable table
-    (files or a checkpoint).
+    Rows are told apart by a number that a written table fixes, so rows with
+    null or repeated keys are rows like any others.
     """
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    placed = store(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
     own = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col("_row").alias("row"))
     found = near_duplicates(placed.select(own.alias("_own"), F.col(text)), "_own", text)
     kept = found.filter("_own <=> component_id").select(F.col("_own.row").alias("_row"))

@@ -6,6 +6,7 @@ import pytest
 from loomfeed.llm import near_copies, simhash, substrings
 from loomfeed.llm.automaton import SuffixAutomaton
 from loomfeed.llm.components import components
+from loomfeed.session import fresh_path
 from tests.llm import brute
 
 DOCS = "doc_id long, text string, anchor string, `key` int"
@@ -62,6 +63,21 @@ def test_near_duplicates_of_unusual_rows(spark):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_survives_another_packing_of_files(spark):
+    rng = random.Random(6)
+    folder = fresh_path(spark, "packed")
+    rows = [(i, prose(rng, 40), "a", 1) for i in range(40)]
+    spark.createDataFrame(rows + rows, DOCS).repartition(20).write.parquet(folder)
+    name = "spark.sql.files.openCostInBytes"
+    kept = simhash.keep_one(spark.read.parquet(folder))
+    before = spark.conf.get(name)
+    spark.conf.set(name, 1 << 28)  # the last scan deals files otherwise
+    try:
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_automaton_finds_repeats():
     rng = random.Random(4)
     for _ in range(30):
