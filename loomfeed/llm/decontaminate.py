@@ -187,7 +187,7 @@ def _pass(docs: DataFrame, windows: Windows, text: str) -> DataFrame:
         added = [
             [n for n, _, _ in found],
             [[{"start": a, "stop": b} for a, b in s] for _, s, _ in found],
-            [sorted(str(windows.items[i]) for i in t) for _, _, t in found],
+            [sorted({str(windows.items[i]) for i in t}) for _, _, t in found],
         ]
         yield batch_of(
             pa.schema([*batch.schema, *extra]), [*batch.columns, *added]

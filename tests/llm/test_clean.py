@@ -59,6 +59,17 @@ def test_leaks_of_empty_tables(spark):
     assert decontaminate.find_leaks(docs.filter("false"), bench).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_repeated_benchmark_rows_count_once(spark, block_bytes):
+    words, other = "one two three four five six seven eight nine ten", "x y z"
+    items = [("b", words), ("b", words), ("a", words), ("b", other), ("c", other)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"{words} and {other}"), (2, "q " + other), (3, None)], "doc_id long, text string")
+    found = decontaminate.find_leaks(docs, bench, block_bytes=block_bytes)
+    got = {r["doc_id"]: r["items"] for r in found.collect()}
+    assert got == {1: ["a", "b", "c"], 2: ["b", "c"], 3: []}
+
+
 def test_folding():
     assert toxicity.fold("Id1ot!! іdiоt ＩＤＩＯＴ") == " idiot idiot idiot "
     assert toxicity.fold("") == toxicity.fold("...") == "  "
