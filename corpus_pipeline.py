@@ -10,40 +10,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, near_copies, packing, substrings, toxicity
+from loomfeed.llm import decontaminate, packing, simhash, substrings, toxicity
 from loomfeed.llm.common import store
 from loomfeed.llm.queries import TOKENIZER, table
 
 
-def _with_text(changed: DataFrame, names: list[str], is_changed) -> DataFrame:
-    """The columns of documents; ``n_chars`` follows where the text was changed."""
-    chars = F.when(is_changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return changed.select(*[chars.alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in names])
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """Key, text and one struct of all other columns, so that no name meets one an operator adds."""
+    others = [F.col(f"`{n}`") for n in docs.columns if n not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others).alias("rest"))
+
+
+def _unwrapped(done: DataFrame, names: list[str], is_changed=None) -> DataFrame:
+    """The columns ``names`` again; ``n_chars`` follows where the text was changed."""
+    rest = done.schema["rest"].dataType.names
+    columns = {n: F.col("rest").getField(n) if n in rest else F.col(n) for n in names}
+    if is_changed is not None and "n_chars" in rest:
+        columns["n_chars"] = F.when(is_changed, F.length("text").cast("long")).otherwise(columns["n_chars"])
+    return done.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity reaches the threshold go; null and empty texts stay."""
     model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
-    scored = toxicity.add_scores(docs.select(*docs.columns), model)
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.add_scores(_wrapped(docs), model)
+    return _unwrapped(scored.filter(F.col("score") < toxicity.THRESHOLD), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 and more) the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of each group linked by SimHash (three-word shingles, two bits) the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 35 words and more that occur twice are cut from the texts."""
-    kept = substrings.remove_repeats(docs)
-    return _with_text(kept, docs.columns, F.col("n_removed") > 0)
+    kept = substrings.remove_repeats(_wrapped(docs))
+    return _unwrapped(kept, docs.columns, F.col("n_removed") > 0)
 
 
 def cut_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut from the texts."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    marked = found.withColumn("n_chars", F.when(F.size("spans") > 0, -1).otherwise(F.col("n_chars")))
-    return _with_text(decontaminate.remove_leaks(docs, marked), docs.columns, F.col("n_chars") == -1)
+    found = decontaminate.find_leaks(_wrapped(docs), table(spark, sf_dir, "benchmark"))
+    rest = F.struct("rest", (F.size("spans") > 0).alias("hit")).alias("rest")
+    marked = found.select("doc_id", "text", rest, "spans")
+    freed = decontaminate.remove_leaks(marked.drop("spans"), marked)
+    flat = freed.select("doc_id", "text", "rest.rest", "rest.hit")
+    return _unwrapped(flat, docs.columns, F.col("hit"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
