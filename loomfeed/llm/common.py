@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomfeed.session import fresh_path
 
@@ -27,16 +28,19 @@ def store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
 
 
 def map_arrow(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str, text: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType, text: str
 ) -> DataFrame:
     """``mapInArrow`` that hands over slices of at most about ``SLICE_BYTES`` of ``text``."""
 
+    names = df.columns
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch.rename_columns(names), text):
                 yield from function(part)
 
-    return df.mapInArrow(run, schema)
+    # mapInArrow would take a dot in a name for a field of a struct
+    return df.toDF(*[n.replace(".", "_") + f"_{i}" for i, n in enumerate(names)]).mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -81,11 +85,29 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_fields(schema: T.StructType, added: str) -> T.StructType:
+    """``schema`` with the fields of a schema text after its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(added).fields])
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns, by position-free reference, whatever else the table holds."""
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as ``df`` needs to have no such column."""
+    taken = {n.lower() for n in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names, which the caller is about to add."""
+    return only(df, *[n for n in df.columns if n.lower() not in names])
+
+
 # files in the shared folder, through any file system that pyarrow knows
 
 

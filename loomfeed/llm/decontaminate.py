@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomfeed.llm.common import batch_of, map_arrow, only, raw_texts, store
+from loomfeed.llm.common import batch_of, map_arrow, only, raw_texts, store, unused, with_fields, without
 from loomfeed.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -129,20 +130,30 @@ def find_leaks(
     """``docs`` with ``n_words``, ``spans`` (hit words, merged) and ``items`` (ids as sorted strings).
 
     A null text has no words. Items without words have no window; equal windows
-    of several items count for each. Repeated rows are searched each. With
-    several blocks the passes are joined by a row number that a written table
-    fixes.
+    of several items count for each; the id of an item without one is not
+    listed. Repeated rows are searched each. Columns of ``docs`` named like the
+    three added ones are replaced.
+
+    The driver and the executors hold one block of the benchmark at a time: with
+    several blocks, rows are numbered in a written table, the hits of each block
+    are written before the next is read, and all are joined by that number.
     """
-    parts = list(blocks(benchmark, item, text, block_bytes))
-    if len(parts) == 1:
-        return _pass(docs, Windows(parts[0], window), text)
-    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "leak-rows")
+    docs = without(docs, "n_words", "spans", "items")
+    given = blocks(benchmark, item, text, block_bytes)
+    part, further = next(given), next(given, None)
+    if further is None:
+        return _pass(docs, Windows(part, window), text)[0]
+    row = unused(docs, "row")
+    rows = store(docs.withColumn(row, F.monotonically_increasing_id()), "leak-rows")
     found = None
-    for part in parts:
-        one = _pass(rows.select("_row", text), Windows(part, window), text).drop(text)
+    while part is not None:
+        one, shared = _pass(rows.select(row, F.col(f"`{text}`").alias("text")), Windows(part, window), "text")
+        one = store(one.drop("text"), "leak-hits")
+        shared.destroy()
         found = one if found is None else found.union(one)
+        part, further = further, next(given, None)
     joined = (
-        found.groupBy("_row")
+        found.groupBy(row)
         .agg(
             F.max("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -150,7 +161,7 @@ def find_leaks(
         )
         .withColumn("spans", _merged(F.col("spans")))
     )
-    return rows.join(joined, "_row").drop("_row")
+    return rows.join(joined, row).drop(row)
 
 
 def _merged(spans):
@@ -174,10 +185,10 @@ def _merged(spans):
     )
 
 
-def _pass(docs: DataFrame, windows: Windows, text: str) -> DataFrame:
+def _pass(docs: DataFrame, windows: Windows, text: str) -> tuple[DataFrame, Broadcast]:
+    """The hits of one block, and what was broadcast for them."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         windows = shared.value
@@ -187,13 +198,13 @@ def _pass(docs: DataFrame, windows: Windows, text: str) -> DataFrame:
         added = [
             [n for n, _, _ in found],
             [[{"start": a, "stop": b} for a, b in s] for _, s, _ in found],
-            [sorted({str(windows.items[i]) for i in t}) for _, _, t in found],
+            [sorted({str(windows.items[i]) for i in t if windows.items[i] is not None}) for _, _, t in found],
         ]
         yield batch_of(
             pa.schema([*batch.schema, *extra]), [*batch.columns, *added]
         )
 
-    return map_arrow(docs, run, f"{schema}, n_words long, spans {SPANS}, items array<string>", text)
+    return map_arrow(docs, run, with_fields(docs.schema, f"n_words long, spans {SPANS}, items array<string>"), text), shared
 
 
 def cut_words(text: str | None, spans: list) -> str | None:
@@ -215,7 +226,9 @@ def cut_words(text: str | None, spans: list) -> str | None:
 
 
 def remove_leaks(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of ``docs`` with the hit spans cut out of the text."""
+    """The columns of ``docs`` with the hit spans cut out of the text, but for those
+    that ``find_leaks`` replaced."""
+    docs = without(docs, "n_words", "spans", "items")
     names = docs.columns
     schema = docs.schema
     place = names.index(text)
@@ -227,4 +240,4 @@ def remove_leaks(docs: DataFrame, found: DataFrame, text: str = "text") -> DataF
         columns[place] = pa.array(texts, type=batch.schema.field(place).type)
         yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[: len(names)]))
 
-    return map_arrow(found.select(*names, "spans"), run, schema, text)
+    return map_arrow(only(found, *names, "spans"), run, schema, text)

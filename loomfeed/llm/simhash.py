@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomfeed.llm.common import batch_of, map_arrow, only, raw_texts, store
+from loomfeed.llm.common import batch_of, map_arrow, only, raw_texts, store, unused
 from loomfeed.llm.components import components
 
 SHINGLE = 3
@@ -160,14 +160,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component: that with the smallest key (null keys last).
 
-    Rows are told apart by a number that a written table fixes, so rows with
-    null or repeated keys are rows like any others.
+    Rows are told apart by a number that a written table fixes, under a name the
+    table does not use, so rows with null or repeated keys are rows like any others.
     """
-    placed = store(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
-    own = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col("_row").alias("row"))
-    found = near_duplicates(placed.select(own.alias("_own"), F.col(text)), "_own", text)
-    kept = found.filter("_own <=> component_id").select(F.col("_own.row").alias("_row"))
-    return placed.join(kept, "_row", "left_semi").select(*[F.col(f"`{n}`") for n in docs.columns])
+    row = unused(docs, "row")
+    placed = store(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    own = F.struct(F.col(f"`{key}`").isNull().alias("missing"), F.col(f"`{key}`").alias("key"), F.col(row).alias("row"))
+    found = near_duplicates(placed.select(own.alias("own"), F.col(f"`{text}`").alias("text")), "own", "text")
+    kept = found.filter("own <=> component_id").select(F.col("own.row").alias(row))
+    return only(placed.join(kept, row, "left_semi"), *docs.columns)
 
 
 def as_hex(fp: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomfeed.llm.automaton import SuffixAutomaton
-from loomfeed.llm.common import batch_of, bitmap, hits, map_arrow, partitions_for, raw_texts, store
+from loomfeed.llm.common import batch_of, bitmap, hits, map_arrow, only, partitions_for, raw_texts, store, unused, with_fields, without
 
 WINDOW = 35
 #: Words of an anchor.
@@ -307,15 +307,16 @@ def remove_repeats(
     All occurrences of a repeated window go, also those within one text and
     those in equal rows. A null text stays null and has no words; texts shorter
     than the window stay as they are; an empty table gives an empty result;
-    further columns are carried along.
+    further columns are carried along, but for ones named like the two counts,
+    which these replace.
     """
+    docs = without(docs, "n_words", "n_removed")
     found = find_repeats(docs, text, window, anchor, hot)
-    names, schema = docs.columns, docs.schema
+    names = docs.columns
     place = names.index(text)
-    keyed = docs.select(*[F.col(f"`{n}`") for n in names], text_key(F.col(text)).alias("_text_key"))
-    joined = keyed.join(found.withColumnRenamed("key", "_text_key").withColumnRenamed("spans", "_spans"), "_text_key", "left").select(
-        *[F.col(f"`{n}`") for n in names], "_spans"
-    )
+    of, marks = unused(docs, "of"), unused(docs, "marks")
+    keyed = docs.select("*", text_key(F.col(f"`{text}`")).alias(of))
+    joined = only(keyed.join(found.select(F.col("key").alias(of), F.col("spans").alias(marks)), of, "left"), *names, marks)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         column = batch.column(place)
@@ -335,8 +336,7 @@ def remove_repeats(
             [*columns, *counts], schema=pa.schema([*fields, ("n_words", pa.int64()), ("n_removed", pa.int64())])
         )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return map_arrow(joined, run, f"{kinds}, n_words long, n_removed long", text)
+    return map_arrow(joined, run, with_fields(docs.schema, "n_words long, n_removed long"), text)
 
 
 def sha256_of_words(text: bytes) -> str:

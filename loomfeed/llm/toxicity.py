@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomfeed.llm.common import batch_of, map_arrow, raw_texts, store
+from loomfeed.llm.common import batch_of, map_arrow, raw_texts, store, with_fields, without
 
 #: Labelled rows the lexicon is mined from, at most; by hash of the key.
 MAX_ROWS = 20_000
@@ -237,10 +237,11 @@ def _calibrate(rows: DataFrame, model: Model, rounds: int = 30, ridge: float = 1
 
 
 def add_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1). Null and empty texts hold no match and score as such."""
+    """``docs`` with ``score`` (0 to 1), in place of a column of that name. Null and
+    empty texts hold no match and score as such."""
+    docs = without(docs, "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -248,7 +249,7 @@ def add_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         schema = pa.schema([*batch.schema, ("score", pa.float64())])
         yield batch_of(schema, [*batch.columns, scores])
 
-    return map_arrow(docs, run, f"{kinds}, score double", text)
+    return map_arrow(docs, run, with_fields(docs.schema, "score double"), text)
 
 
 def bucket(key: str, parts: int):
