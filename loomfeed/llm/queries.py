@@ -7,7 +7,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfeed.llm import decontaminate, nearest, oracle, packing, pitman_yor, sharding, simhash, substrings, token_files, toxicity, warc
+from loomfeed.llm import (
+    decontaminate,
+    importance,
+    nearest,
+    oracle,
+    packing,
+    personal,
+    pitman_yor,
+    prefix_trie,
+    sharding,
+    simhash,
+    substrings,
+    token_files,
+    toxicity,
+    warc,
+)
 from loomfeed.session import fresh_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,8 +112,39 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op11_personal(spark, sf_dir):
+    """Personal data: base spans with their counts and digest, and all spans."""
+    found = personal.find_personal(documents(spark, sf_dir))
+    return found.select("doc_id", *personal.digests(found))
+
+
+def op12_importance(spark, sf_dir):
+    """A quarter of the documents, drawn towards the benchmark's n-grams."""
+    scored = importance.scores(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return importance.draw(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_prefix_trie(spark, sf_dir):
+    """The nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pitman_yor, op2_substrings, op3_token_files, op4_simhash, op5_warc, op6_nearest, op7_toxicity, op8_sharding, op9_packing, op10_decontaminate)
+    for f in (
+        op1_pitman_yor,
+        op2_substrings,
+        op3_token_files,
+        op4_simhash,
+        op5_warc,
+        op6_nearest,
+        op7_toxicity,
+        op8_sharding,
+        op9_packing,
+        op10_decontaminate,
+        op11_personal,
+        op12_importance,
+        op13_prefix_trie,
+    )
 }
 ORACLE = oracle.ORACLE
