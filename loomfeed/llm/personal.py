@@ -217,8 +217,9 @@ def listed(spans: Column) -> Column:
 def digests(found: DataFrame, spans: str = "personal") -> list[Column]:
     """The columns of the query: counts of base kinds, digest of base spans, all spans."""
     base = F.filter(spans, lambda s: s["base"])
-    counts = [
-        F.size(F.filter(spans, lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-        for kind in BASE_KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE_KINDS]
     return [*counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col(spans)).alias("spans")]

@@ -4,6 +4,7 @@ import pytest
 
 from loomfeed.llm import personal
 from loomfeed.llm.common import store
+from loomfeed.llm.queries import QUERIES
 from tests.llm import brute
 from tests.conftest import node_names
 
@@ -71,13 +72,18 @@ def test_base_spans_equal_python(spark):
 
 
 def test_whole_documents_equal_python(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    found = personal.find_personal(docs.select("doc_id", "text"))
-    number = 0
-    for r in found.collect():
-        assert as_text(s for s in r["personal"] if s["base"]) == base(r["text"])
-        number += len(r["personal"])
-    assert number > 50
+    folder = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = QUERIES["op11_personal"](spark, folder)
+    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    totals = [0] * 4
+    for r in got.collect():
+        listed = base(texts[r["doc_id"]])
+        counts = [sum(x.startswith(f"{k}:") for x in listed) for k in personal.BASE_KINDS]
+        assert (list(r[1:5]), r["base_sha256"]) == (counts, brute.sha256(",".join(listed)))
+        assert set(listed) <= set(r["spans"].split(","))
+        totals = [a + b for a, b in zip(totals, counts, strict=True)]
+    assert min(totals) > 10
 
 
 @pytest.mark.parametrize(
