@@ -18,6 +18,9 @@ def augment_report(augmented: DataFrame) -> DataFrame:
     return augmented.agg(*_counts())
 
 
-def observe_report(augmented: DataFrame, observation: Observation) -> DataFrame:
-    """``augmented`` itself; the counts arrive in ``observation`` with the job that uses it."""
+def observe_report(augmented: DataFrame, observation: Observation | str) -> DataFrame:
+    """``augmented`` itself; the counts arrive in ``observation`` with the job that uses it.
+
+    On a stream give a name, by which ``BatchReports`` gathers the counts of each batch.
+    """
     return augmented.observe(observation, *_counts())

@@ -27,21 +27,34 @@ LONGEST_INLINE = 256
 FREQUENT_WORDS = 100_000
 
 
-def build_vocab(
-    df: DataFrame, col: str = "prompt", size: int = 32_000, specials: Sequence[str] = SPECIALS
-) -> DataFrame:
-    """``(tok, id)``: the specials, then the ``size`` most frequent words, ties by word.
+def count_words(df: DataFrame, col: str = "prompt", specials: Sequence[str] = SPECIALS) -> DataFrame:
+    """``(tok, n)``: how often each word occurs, specials left out.
 
     Counts combine map-side, so a very frequent word costs one row per task.
-    The count of the last word to make it is found first, from the histogram of
-    counts; only words at least that frequent reach the final top-k.
+    Counts of batches can be stored and merged.
     """
-    counted = (
+    return (
         df.select(F.explode(words(as_column(col))).alias("tok"))
         .filter(~F.col("tok").isin(*specials))
         .groupBy("tok")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def merge_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of all batches together."""
+    every = counts[0].select("tok", "n")
+    for more in counts[1:]:
+        every = every.unionByName(more.select("tok", "n"))
+    return every.groupBy("tok").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(counted: DataFrame, size: int, first: int | Column) -> DataFrame:
+    """``(tok, id)`` of the ``size`` most frequent words, ties by word, ids from ``first``.
+
+    The count of the last word to make it is found first, from the histogram of
+    counts; only words at least that frequent reach the final top-k.
+    """
     # few rows: n words have at most sqrt(2n) distinct counts
     histogram = counted.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
     from_top = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
@@ -56,14 +69,36 @@ def build_vocab(
         .orderBy(*by_rank)
         .limit(size)
     )
-    first = len(specials)
-    numbered = top.select(
-        "tok", (F.row_number().over(Window.orderBy(*by_rank)) + (first - 1)).cast("int").alias("id")
-    )
-    fixed = df.sparkSession.createDataFrame(
+    return top.select("tok", (F.row_number().over(Window.orderBy(*by_rank)) + (first - 1)).cast("int").alias("id"))
+
+
+def vocab_of_counts(counted: DataFrame, size: int = 32_000, specials: Sequence[str] = SPECIALS) -> DataFrame:
+    """``(tok, id)``: the specials, then the ``size`` most frequent words, ties by word."""
+    fixed = counted.sparkSession.createDataFrame(
         [(tok, i) for i, tok in enumerate(specials)], "tok string, id int"
     )
-    return fixed.unionByName(numbered)
+    return fixed.unionByName(_most_frequent(counted, size, len(specials)))
+
+
+def build_vocab(
+    df: DataFrame, col: str = "prompt", size: int = 32_000, specials: Sequence[str] = SPECIALS
+) -> DataFrame:
+    """The vocabulary of the words of ``col``: :func:`vocab_of_counts` of :func:`count_words`."""
+    return vocab_of_counts(count_words(df, col, specials), size, specials)
+
+
+def grow_vocab(vocab: DataFrame, counted: DataFrame, size: int = 32_000) -> DataFrame:
+    """``vocab`` with the most frequent words it lacks, up to ``size`` entries in all.
+
+    Words keep their ids, also where their counts have fallen behind; new words
+    take the ids after the last one, most frequent first, ties by word. Give a
+    stored vocabulary and stored counts: both are read more than once.
+    """
+    held, last = vocab.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(-1))).first()
+    if held >= size:
+        return vocab.select("tok", "id")
+    new = counted.join(vocab.select("tok"), "tok", "left_anti")
+    return vocab.select("tok", "id").unionByName(_most_frequent(new, size - held, last + 1))
 
 
 def _bucket(tok: Column, buckets: int) -> Column:

@@ -10,38 +10,50 @@ from pyspark.sql import functions as F
 from loomfeed.functions import arrays
 from loomfeed.functions import text as texts
 from loomfeed.operators import (
+    add_characters,
     assign_batches,
     augment,
     augment_report,
     build_vocab,
     collate,
+    count_words,
+    encode_pieces,
     encode_words,
     epochs,
     finish_ids,
+    from_step,
+    grow_vocab,
+    keyed_epochs,
+    merge_counts,
+    observe_report,
     prompt_full,
     prompt_optional_input,
     renumber,
     replicate,
+    row_at,
     row_keys,
     split,
     split_by_hash,
     tokenize_batches,
     vary_columns,
     vary_slots,
+    vocab_of_counts,
     word_level_json,
 )
 from loomfeed.operators.vocab import BOS_ID, EOS_ID, PAD_ID
 from loomfeed.plans.examples import examples_from_conversations as examples
 from loomfeed.plans.prepare import prepare_v1, prepare_v2, render_v1, render_v2
 from loomfeed.session import checkpoint, fresh_path
-from loomfeed.sources import NA_WORDS, normalize_missing, read_examples, write_examples
-from loomfeed.streaming import stream_examples, write_available
+from loomfeed.sources import NA_WORDS, ingest_examples, normalize_missing, read_examples, write_examples
+from loomfeed.streaming import BatchReports, stream_examples, write_available, write_files_available
 
 SEED = 42
 COPIES = 3
 LENGTH = 512
 VOCAB = 4000
 DOCUMENT_VOCAB = 32_000
+PIECES = 8000
+RESUMED = 5
 EPOCHS = 3
 BATCH, WORLD, ACCUM = 2, 3, 2
 TEST_SIZE = 0.1
@@ -87,13 +99,38 @@ def longest_text(spark: SparkSession, sf_dir: str) -> int:
 def example_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The examples as CSV files, columns in another order and with one more."""
     path = fresh_path(spark, name)
+    write_csv(examples(spark, sf_dir).select(F.length("output").alias("extra"), "output", "input", "instruction"), path)
+    return path
+
+
+def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
     (
-        examples(spark, sf_dir)
-        .select(F.length("output").alias("extra"), "output", "input", "instruction")
-        .write.options(header=True, quoteAll=True, escape='"')
+        df.write.options(header=True, quoteAll=True, escape='"', lineSep=line_sep)
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .mode("append")
         .csv(path)
     )
+
+
+def ordered_example_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The examples as CSV files, in the order of their ids over files and lines."""
+    path = fresh_path(spark, name)
+    write_csv(examples(spark, sf_dir).orderBy("ex_id").select(*TEXTS), path)
+    return path
+
+
+def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as examples: texts with line breaks and quotes."""
+    columns = [F.col("text").alias("instruction"), F.col("source").alias("input"), F.col("lang").alias("output")]
+    return documents(spark, sf_dir).select("doc_id", *columns)
+
+
+def mixed_document_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The documents as CSV files of two kinds: other line ends, other order of columns."""
+    path, cells = fresh_path(spark, name), document_cells(spark, sf_dir)
+    english = F.coalesce(F.col("output") == "en", F.lit(False))
+    write_csv(cells.filter(english).select(*TEXTS), path)
+    write_csv(cells.filter(~english).select("doc_id", *TEXTS[::-1]), path, "\r\n")
     return path
 
 
@@ -104,6 +141,16 @@ def scan_instruction_csv(spark, sf_dir):
     return read_examples(spark, example_csv(spark, sf_dir, "scan")).select(*TEXTS)
 
 
+def scan_row_index(spark, sf_dir):
+    path = fresh_path(spark, "ordered")
+    write_csv(document_cells(spark, sf_dir).orderBy("doc_id").select(*TEXTS), path)
+    return ingest_examples(spark, path).select("row_index", *TEXTS)
+
+
+def scan_mixed_headers(spark, sf_dir):
+    return read_examples(spark, mixed_document_csv(spark, sf_dir, "mixed")).select(*TEXTS)
+
+
 def normalize_missing_words(spark, sf_dir):
     planted = F.element_at(
         F.array(*[F.lit(w) for w in NA_WORDS]), (F.col("doc_id") % len(NA_WORDS) + 1).cast("int")
@@ -119,6 +166,16 @@ def stream_instruction_csv(spark, sf_dir):
     return spark.read.parquet(out).select("ex_id", "copy_id", "prompt")
 
 
+def stream_csv_files(spark, sf_dir):
+    path, out = mixed_document_csv(spark, sf_dir, "files"), fresh_path(spark, "streamed")
+
+    def prompts(rows):
+        return render_v2(rows, repeat_count=COPIES, seed=SEED)
+
+    write_files_available(spark, path, out, fresh_path(spark, "progress"), prompts).awaitTermination()
+    return spark.read.parquet(out).select("ex_id", "copy_id", "prompt")
+
+
 def write_examples_parquet(spark, sf_dir):
     path = fresh_path(spark, "examples")
     write_examples(split(copies(spark, sf_dir), TEST_SIZE, SEED), path)
@@ -262,6 +319,21 @@ def build_vocab_of_documents(spark, sf_dir):
     return build_vocab(documents(spark, sf_dir), "text", DOCUMENT_VOCAB)
 
 
+def grow_vocab_by_batches(spark, sf_dir):
+    """Words of the English documents first, then of all, from stored counts of two batches."""
+    docs = documents(spark, sf_dir).select("lang", "text")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    first, second = (checkpoint(count_words(docs.filter(part), "text")) for part in (english, ~english))
+    old = checkpoint(vocab_of_counts(first, VOCAB))
+    return grow_vocab(old, checkpoint(merge_counts(first, second)), DOCUMENT_VOCAB)
+
+
+def encode_document_pieces(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    vocab = checkpoint(add_characters(vocab_of(docs, PIECES, "text"), docs, "text"))
+    return encode_pieces(docs, vocab, LENGTH, text="text").select("doc_id", as_text("ids"))
+
+
 def encode_prompts(spark, sf_dir):
     return example_ids(spark, sf_dir).select(*KEY, as_text("ids"))
 
@@ -337,6 +409,18 @@ def augment_report_counts(spark, sf_dir):
     return augment_report(copies(spark, sf_dir))
 
 
+def augment_report_stream(spark, sf_dir):
+    """The counts of all micro-batches, added up."""
+    rows = stream_examples(spark, example_csv(spark, sf_dir, "report"), max_files_per_trigger=1)
+    with BatchReports(spark, "augment") as reports:
+        counted = observe_report(replicate(rows, COPIES), "augment")
+        query = write_available(counted, fresh_path(spark, "streamed"), fresh_path(spark, "progress"))
+        query.awaitTermination()
+        batches = reports.of(query).values()
+    totals = tuple(sum(b[c] for b in batches) for c in ("rows_before", "rows_after"))
+    return spark.createDataFrame([totals], "rows_before long, rows_after long")
+
+
 def train_test_split(spark, sf_dir):
     return split(copies(spark, sf_dir), TEST_SIZE, SEED).select(*KEY, "split")
 
@@ -349,6 +433,23 @@ def epoch_shuffle(spark, sf_dir):
     return epochs(copies(spark, sf_dir).select(*KEY), EPOCHS, SEED)
 
 
+def keyed_places(spark, sf_dir):
+    rows = checkpoint(renumber(copies(spark, sf_dir).select(*KEY)))
+    total = rows.count()
+    return keyed_epochs(rows, EPOCHS, total, SEED), total
+
+
+def epoch_keyed(spark, sf_dir):
+    placed, total = keyed_places(spark, sf_dir)
+    back = row_at("position", total, SEED, F.col("epoch"))
+    return placed.select(*KEY, "epoch", "position", back.alias("row_index"))
+
+
+def epoch_resumed(spark, sf_dir):
+    rest = from_step(keyed_places(spark, sf_dir)[0], RESUMED, BATCH, WORLD, ACCUM)
+    return assign_batches(rest, BATCH, WORLD, ACCUM).select(*KEY, "epoch", "rank", "micro", "step", "slot")
+
+
 def epoch_shuffle_equal_rows(spark, sf_dir):
     return epochs(equal_rows(spark, sf_dir), EPOCHS, SEED)
 
@@ -404,12 +505,33 @@ def prepare_dataset_v2_from_csv(spark, sf_dir):
     return _prepared_v2(read_examples(spark, example_csv(spark, sf_dir, "prepare")))
 
 
+def _ingested(spark, sf_dir, render):
+    """Examples keyed by their place in the files, and a vocabulary of their prompts."""
+    df = ingest_examples(spark, ordered_example_csv(spark, sf_dir, "ingest"), index="ex_id")
+    return df, vocab_of(render(df, repeat_count=COPIES, seed=SEED))
+
+
+def prepare_dataset_v1_row_index(spark, sf_dir):
+    df, vocab = _ingested(spark, sf_dir, render_v1)
+    out = prepare_v1(df, vocab, max_length=LENGTH, repeat_count=COPIES, seed=SEED)
+    return out.select(*KEY, as_text("input_ids"), as_text("attention_mask"))
+
+
+def prepare_dataset_v2_row_index(spark, sf_dir):
+    df, vocab = _ingested(spark, sf_dir, render_v2)
+    out = prepare_v2(df, vocab, max_length=LENGTH, repeat_count=COPIES, seed=SEED)
+    return out.select(*KEY, as_text("input_ids"), as_text("attention_mask"), as_text("labels"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "scan_instruction_csv": scan_instruction_csv,
+    "scan_row_index": scan_row_index,
+    "scan_mixed_headers": scan_mixed_headers,
     "normalize_missing": normalize_missing_words,
     "stream_instruction_csv": stream_instruction_csv,
+    "stream_csv_files": stream_csv_files,
     "write_examples": write_examples_parquet,
     "row_keys": row_keys_by_content,
     "skip_absent_column": skip_absent_column,
@@ -433,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "tokenize_batches": tokenize_with_json,
     "build_vocab": build_vocab_of_prompts,
     "build_vocab_documents": build_vocab_of_documents,
+    "grow_vocab": grow_vocab_by_batches,
+    "encode_pieces": encode_document_pieces,
     "encode_words": encode_prompts,
     "encode_words_shuffled": encode_prompts_shuffled,
     "encode_words_special_ids": encode_words_special_ids,
@@ -444,9 +568,12 @@ QUERIES: dict[str, Query] = {
     "mask_labels": mask_labels,
     "pad_token_fallback": pad_token_fallback,
     "augment_report": augment_report_counts,
+    "augment_report_stream": augment_report_stream,
     "train_test_split": train_test_split,
     "train_test_split_by_hash": train_test_split_by_hash,
     "epoch_shuffle": epoch_shuffle,
+    "epoch_keyed": epoch_keyed,
+    "epoch_resumed": epoch_resumed,
     "epoch_shuffle_equal_rows": epoch_shuffle_equal_rows,
     "train_test_split_equal_rows": train_test_split_equal_rows,
     "assign_batches": assign_batches_of_epochs,
@@ -455,4 +582,6 @@ QUERIES: dict[str, Query] = {
     "prepare_dataset_v2": prepare_dataset_v2,
     "prepare_dataset_v2_literal_nan": prepare_dataset_v2_literal_nan,
     "prepare_dataset_v2_from_csv": prepare_dataset_v2_from_csv,
+    "prepare_dataset_v1_row_index": prepare_dataset_v1_row_index,
+    "prepare_dataset_v2_row_index": prepare_dataset_v2_row_index,
 }

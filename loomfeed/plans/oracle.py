@@ -20,7 +20,7 @@ def lits(values) -> str:
 
 
 def query(ctes: Ctes, body: str) -> str:
-    return "with " + ",\n".join(f"{name} as ({sql})" for name, sql in ctes.items()) + "\n" + body
+    return "with recursive " + ",\n".join(f"{name} as ({sql})" for name, sql in ctes.items()) + "\n" + body
 
 
 EXAMPLES: Ctes = {
@@ -263,10 +263,159 @@ SPECIAL_IDS = f"""
            {text_of(f'list_concat([{BOS_ID}], list_concat(ids, [{EOS_ID}]))')} as ids
     from encoded e join documents d on e.doc_id = d.doc_id"""
 
+def cell(value: str) -> str:
+    """What a CSV cell is read as: words for missing values are null."""
+    return f"case when {value} is null or list_contains({lits(NA_WORDS)}, {value}) then null else {value} end"
+
+
+# documents as examples, written to CSV
+DOCUMENT_CELLS: Ctes = {
+    "cells": f"""
+        select doc_id, {cell('text')} as instruction, {cell('source')} as input, {cell('lang')} as output
+        from documents"""
+}
+# line breaks in the values of a file with CRLF are written as CRLF
+MIXED_CELLS: Ctes = {
+    "written": f"""
+        select {cell('text')} as text, {cell('source')} as input, {cell('lang')} as output from documents""",
+    "cells": """
+        select case when output = 'en' then text else replace(text, chr(10), chr(13) || chr(10)) end as instruction,
+               input, output
+        from written""",
+}
+STREAMED_FILES: Ctes = {
+    **MIXED_CELLS,
+    "keyed": f"select {content_hash(REQUIRED)} as ex_id, instruction, input, output from cells",
+    "copies": copies_of("keyed"),
+    **prompts(varied_columns("copies"), optional_prompt()),
+}
+
+
+def row_index_prompts(varied: str, prompt: str) -> Ctes:
+    """Prompts of the examples keyed by their place in the order of their ids."""
+    return {
+        **EXAMPLES,
+        "keyed": """
+            select row_number() over (order by ex_id) - 1 as ex_id, instruction, nullif(input, '') as input, output
+            from examples""",
+        "copies": copies_of("keyed"),
+        **prompts(varied, prompt),
+        **encoded("prompts", "prompt", "ex_id, copy_id", q.VOCAB, q.LENGTH),
+    }
+
+
+GROWN: Ctes = {
+    "words": """
+        select coalesce(lang = 'en', false) as english,
+               unnest(list_filter(regexp_split_to_array(text, '[ \\n\\t\\r]+'), lambda w: w <> '')) as tok
+        from documents""",
+    "counted": f"""
+        select tok, count(*) as n, count(*) filter (english) as n_english from words
+        where tok not in ({', '.join(lit(s) for s in SPECIALS)}) group by tok""",
+    "old": f"""
+        select tok, row_number() over (order by n_english desc, tok) as r from counted
+        where n_english > 0 qualify r <= {q.VOCAB}""",
+    "new": f"""
+        select tok, row_number() over (order by n desc, tok) as r, (select count(*) from old) as held
+        from counted where tok not in (select tok from old)
+        qualify r + held + {len(SPECIALS)} <= {q.DOCUMENT_VOCAB}""",
+}
+
+LONGEST_PIECE = 16
+PIECES: Ctes = {
+    **encoded("documents", "text", "doc_id", q.PIECES, q.LENGTH),
+    "letters": """
+        select distinct unnest(regexp_extract_all(text, '[^ \\n\\t\\r]')) as tok from documents""",
+    "pieces": """
+        select tok, id from vocab
+        union all
+        select tok, cast(row_number() over (order by tok) + (select max(id) from vocab) as int)
+        from letters where tok not in (select tok from vocab)""",
+    "starts": f"""
+        select tok as word, unnest(range(1, length(tok) + 1)) as place
+        from (select distinct tok from tokens where pos < {q.LENGTH})""",
+    "best": f"""
+        select word, place, max(n) as n, arg_max(id, n) as id
+        from (select *, unnest(range(1, {LONGEST_PIECE + 1})) as n from starts) c
+        join pieces p on substr(word, place, n) = p.tok and length(p.tok) = n
+        group by word, place""",
+    "walk": f"""
+        select word, cast(1 as bigint) as place, cast(0 as bigint) as k from (select distinct word from starts)
+        union all
+        select w.word, w.place + b.n, k + 1 from walk w join best b using (word, place)""",
+    "cut": "select word, list(id order by place) as ids from walk join best using (word, place) group by word",
+    "listed": f"""
+        select doc_id, flatten(list(c.ids order by pos))[:{q.LENGTH}] as ids
+        from tokens t join cut c on t.tok = c.word where pos < {q.LENGTH} group by doc_id""",
+}
+
+
+def hashed(turn: int, digit: str) -> str:
+    return f"cast('0x' || substr(md5(concat_ws('|', '{q.SEED}', epoch, {turn}, {digit})), 1, 12) as bigint)"
+
+
+def keyed_walk() -> str:
+    turns = "select row_index, epoch, k, n, a, b, x // b as l, x % b as r from walk cross join shape where k = 0 or x >= n"
+    for turn, (digit, other, base) in enumerate([("l", "r", "a"), ("r", "l", "b")] * 2):
+        turns = f"select * replace (({digit} + {hashed(turn, other)}) % {base} as {digit}) from ({turns})"
+    return f"""
+        select row_index, epoch, row_index as x, 0 as k
+        from numbered cross join (select cast(range as int) as epoch from range({q.EPOCHS})) e
+        union all
+        select row_index, epoch, l * b + r, k + 1 from ({turns})"""
+
+
+KEYED: Ctes = {
+    **COPIES,
+    "numbered": "select ex_id, copy_id, row_number() over (order by copy_id, ex_id) - 1 as row_index from copies",
+    "shape": """
+        select n, a, (n + a - 1) // a as b
+        from (select count(*) as n, cast(ceil(sqrt(count(*))) as bigint) as a from numbered)""",
+    "walk": keyed_walk(),
+    "places": """
+        select ex_id, copy_id, epoch, x as position, row_index
+        from walk join numbered using (row_index) cross join shape where k > 0 and x < n""",
+}
+
 _SWITCH_ROWS = "instruction, input, output from examples"
 
 ORACLE: dict[str, str] = {
     "scan_instruction_csv": query(CSV_ROWS, "select instruction, input, output from cells"),
+    "scan_row_index": query(
+        DOCUMENT_CELLS,
+        "select row_number() over (order by doc_id) - 1 as row_index, instruction, input, output from cells",
+    ),
+    "scan_mixed_headers": query(MIXED_CELLS, "select instruction, input, output from cells"),
+    "stream_csv_files": query(STREAMED_FILES, "select ex_id, copy_id, prompt from prompts"),
+    "grow_vocab": query(
+        GROWN,
+        f"""select tok, cast(id as int) as id from (values {', '.join(f"({lit(t)}, {i})" for i, t in enumerate(SPECIALS))}) t(tok, id)
+            union all select tok, cast(r + {len(SPECIALS) - 1} as int) from old
+            union all select tok, cast(r + held + {len(SPECIALS) - 1} as int) from new""",
+    ),
+    "encode_pieces": query(
+        PIECES,
+        f"select d.doc_id, coalesce({text_of('ids')}, '') as ids"
+        " from documents d left join listed using (doc_id)",
+    ),
+    "augment_report_stream": query(
+        COPIES,
+        "select count(*) filter (copy_id = 0) as rows_before, count(*) as rows_after from copies",
+    ),
+    "epoch_keyed": query(KEYED, "select ex_id, copy_id, epoch, position, row_index from places"),
+    "epoch_resumed": query(
+        {**KEYED, "batches": batch_places("places")},
+        f"select ex_id, copy_id, epoch, rank, micro, step, slot from batches"
+        f" where position >= {q.RESUMED * q.BATCH * q.WORLD * q.ACCUM}",
+    ),
+    "prepare_dataset_v1_row_index": query(
+        row_index_prompts(varied_slots("copies"), full_prompt()),
+        f"select ex_id, copy_id, {finished(q.LENGTH, labels=False)} from encoded",
+    ),
+    "prepare_dataset_v2_row_index": query(
+        row_index_prompts(varied_columns("copies"), optional_prompt()),
+        f"select ex_id, copy_id, {finished(q.LENGTH)} from encoded",
+    ),
     "normalize_missing": f"""
         with cells as (
           select doc_id, case when doc_id % 2 = 0 then {lits(NA_WORDS)}[doc_id % {len(NA_WORDS)} + 1]

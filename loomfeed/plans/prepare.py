@@ -37,7 +37,7 @@ def render_v2(
     variations: Mapping[str, Sequence[str]] = COLUMN_WORDS,
     seed: int = 42,
     null_literal: str | None = None,
-    observation: Observation | None = None,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """``(ex_id, copy_id, prompt)``: augmented where switched on, input line optional.
 
@@ -91,7 +91,7 @@ def prepare_v2(
     null_literal: str | None = None,
     pad_id: int | None = PAD_ID,
     eos_id: int | None = None,
-    observation: Observation | None = None,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """``(ex_id, copy_id, input_ids, attention_mask, labels)``."""
     prompts = render_v2(df, apply, repeat_count, variations, seed, null_literal, observation)

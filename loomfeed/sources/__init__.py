@@ -1,4 +1,4 @@
-from loomfeed.sources.csv import NA_WORDS, normalize_missing, read_examples
+from loomfeed.sources.csv import NA_WORDS, ingest_examples, normalize_missing, read_examples
 from loomfeed.sources.sinks import write_examples
 
-__all__ = ["NA_WORDS", "normalize_missing", "read_examples", "write_examples"]
+__all__ = ["NA_WORDS", "ingest_examples", "normalize_missing", "read_examples", "write_examples"]

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import logging
-import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +14,9 @@ from pyspark.sql import types as T
 
 from loomfeed.functions.text import as_column, quoted
 from loomfeed.operators.checks import REQUIRED, missing_columns
-from loomfeed.sources.records import inside_after, read_records
+from loomfeed.session import fresh_path
+from loomfeed.sources.headers import FileHeader, file_headers, pinned_session
+from loomfeed.sources.records import SplitStarts, cut_records, split_starts
 
 logger = logging.getLogger(__name__)
 
@@ -27,6 +28,7 @@ NA_WORDS = (
 )
 
 CORRUPT = "_corrupt_record"
+NUMBER = "_number"
 
 
 def normalize_missing(col: Column | str, na_words: Sequence[str] = NA_WORDS) -> Column:
@@ -97,63 +99,24 @@ def unique_names(raw: Sequence[str | None]) -> tuple[str, ...]:
     return tuple(names)
 
 
-def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
-    """The first line of each file at ``path``.
-
-    Only lines of first blocks are looked at, and one row per file comes to the
-    driver, which lists the files anyway.
-    """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
-    )
-    first = (
-        lines.filter("at = 0")
-        .select("file", F.monotonically_increasing_id().alias("nth"), "value")
-        .groupBy("file")
-        .agg(F.min_by("value", "nth").alias("header"))
-    )
-    return {_as_path(r["file"]): r["header"] for r in first.orderBy("file").collect()}
-
-
-def line_ends(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
-    """The files at ``path`` by line separator: ``"\\r\\n"``, or None for Spark's default."""
-    found: dict[str | None, list[str]] = {}
-    for file, header in first_lines(spark, path).items():
-        found.setdefault(_line_sep(header), []).append(file)
-    return found
-
-
-def _line_sep(header: str) -> str | None:
-    """The header line of a file decides."""
-    return "\r\n" if header.find("\r") == len(header) - 1 >= 0 else None
-
-
-def _can_cut(header: str) -> bool:
-    """Whether lines end with a line feed, and the header is one line."""
-    return "\r" not in header.removesuffix("\r") and not inside_after(header.removesuffix("\r"), False)
-
-
-def _as_path(uri: str) -> str:
-    """A path to read exactly this file: escapes undone, pattern characters escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def _layout(header: FileHeader | None, line_sep: str | None = None, multi_line: bool = True) -> CsvLayout:
+    raw = header.fields if header else ()
+    names = unique_names(raw)
+    return CsvLayout(names, multi_line, line_sep, regular=names == raw)
 
 
 def csv_layout(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> CsvLayout:
     """Read the header at ``path``. Files there must agree in how their lines end,
     which :func:`read_examples` sees to and a stream needs."""
-    paths = [path] if isinstance(path, str) else list(path)
+    headers = file_headers(spark, path)
     line_sep = None
     if multi_line:
         # Spark would turn CRLF inside quotes to LF unless told the separator
-        ends = {sep for p in paths for sep in line_ends(spark, p)}
+        ends = {h.line_sep for h in headers}
         if len(ends) > 1:
             raise ValueError(f"files with different line ends at {path}: give a stream files of one kind")
         line_sep = ends.pop() if ends else None
-    options = {**_dialect(multi_line), **({"lineSep": line_sep} if line_sep else {})}
-    first = spark.read.options(**options).csv(paths).first()
-    raw = tuple(first) if first else ()
-    names = unique_names(raw)
-    return CsvLayout(names, multi_line, line_sep, regular=names == raw)
+    return _layout(headers[0] if headers else None, line_sep, multi_line)
 
 
 def _field_count(line: Column) -> Column:
@@ -162,9 +125,12 @@ def _field_count(line: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def clean_rows(df: DataFrame, na_words: Sequence[str] = NA_WORDS) -> DataFrame:
-    """Fail on a row with too many fields, keep short ones, null the missing words."""
-    names = [n for n in df.columns if n != CORRUPT]
+def clean_rows(df: DataFrame, na_words: Sequence[str] = NA_WORDS, keep: Sequence[str] = ()) -> DataFrame:
+    """Fail on a row with too many fields, keep short ones, null the missing words.
+
+    Columns ``keep`` are no cells and go through as they are.
+    """
+    names = [n for n in df.columns if n != CORRUPT and n not in keep]
     line = F.col(CORRUPT)
     too_long = F.coalesce(_field_count(line) > len(names), F.lit(False))
     message = F.concat(
@@ -174,37 +140,56 @@ def clean_rows(df: DataFrame, na_words: Sequence[str] = NA_WORDS) -> DataFrame:
         line,
     )
     kept = F.when(too_long, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return df.filter(kept).select(*[normalize_missing(n, na_words).alias(n) for n in names])
+    return df.filter(kept).select(*keep, *[normalize_missing(n, na_words).alias(n) for n in names])
 
 
 def _whole_files(spark: SparkSession, files: Sequence[str], layout: CsvLayout) -> DataFrame:
     return spark.read.options(**layout.options).schema(layout.schema).csv(list(files))
 
 
-def _cut_files(spark: SparkSession, files: Sequence[str], layout: CsvLayout, sep: str | None) -> DataFrame:
-    """The same cells, read by many tasks per file."""
-    records = read_records(spark, files, crlf=sep is not None)
-    is_header = (F.col("place.block") == 0) & (F.col("place.nth") == 0)
+def _cut_files(spark: SparkSession, files: Sequence[FileHeader], layout: CsvLayout, starts: SplitStarts) -> DataFrame:
+    """The same cells, read by many tasks per file, and the ``number`` of each row."""
     options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _dialect(True).items()}
     options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     cells = F.from_csv("text", ", ".join(f"{quoted(n)} string" for n in layout.schema.names), options)
-    if layout.regular:
-        names = F.array(*[F.lit(n) for n in layout.names])
-        text = F.regexp_replace("text", "^\ufeff", "")
-        wide = ", ".join(f"c{i} string" for i in range(len(layout.names) + 1))
-        found = F.from_csv(text, wide, {k: v for k, v in options.items() if k in ("quote", "escape", "multiLine")})
-        same = F.array_compact(F.array(*[found[f"c{i}"] for i in range(len(layout.names) + 1)])) == names
-        message = F.concat(F.lit(f"CSV header differs from {list(layout.names)}: "), F.col("text"))
-        kept = F.when(is_header & ~same, F.raise_error(message).cast("boolean")).otherwise(~is_header)
-    else:
-        kept = ~is_header
-    rows = records.filter(kept).filter(F.col("text") != "")
-    return rows.select(cells.alias("_cells")).select("_cells.*")
+    records = cut_records(spark, files, starts)
+    return records.select(F.col("number").alias(NUMBER), cells.alias("_cells")).select(NUMBER, "_cells.*")
+
+
+def _kinds(headers: Sequence[FileHeader], required: Sequence[str]) -> dict[tuple[CsvLayout, bool], list[FileHeader]]:
+    """The files by their layout, and whether they can be cut."""
+    kinds: dict[tuple[CsvLayout, bool], list[FileHeader]] = {}
+    for header in headers:
+        layout = _layout(header, header.line_sep).require(required)
+        kinds.setdefault((layout, header.can_cut), []).append(header)
+    if not kinds:
+        CsvLayout(()).require(required)
+    return kinds
+
+
+def _together(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all layouts, columns bound by name; a column that a file lacks is missing there."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+@contextmanager
+def _named_errors(path: str | Sequence[str]) -> Iterator[None]:
+    try:
+        yield
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            logger.error("no such input: %s", path)
+            raise FileNotFoundError(path) from error
+        logger.error("cannot read %s: %s", path, error)
+        raise
 
 
 def read_examples(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     required: Sequence[str] = REQUIRED,
     na_words: Sequence[str] = NA_WORDS,
     multi_line: bool = True,
@@ -212,28 +197,95 @@ def read_examples(
 ) -> DataFrame:
     """Read instruction CSV file(s) with a header.
 
-    Files with CRLF and with LF line ends are read each in its own way, in any
-    mix. Files whose lines end alike must have one header.
+    Every file has its own header: files may order their columns differently, and
+    files with CRLF and with LF line ends are read each in its own way, in any
+    mix. Two jobs look at the files, however many there are: one reads the
+    beginning of each, one finds how quotes run over the splits.
 
     ``multi_line`` allows line breaks inside quotes. Files are cut into tasks all
     the same (see ``records``), but for files whose lines end with a carriage
-    return alone or whose header has a line break: those are one task each, so
-    give ``spread`` (a partition count) where they are big.
+    return alone: those are one task each, so give ``spread`` (a partition count)
+    where they are big. Without ``multi_line`` the files must have one header.
+
+    The files are scanned again by each job that uses the result, and must then be
+    cut as they are now; :func:`ingest_examples` reads them once for all.
     """
-    try:
-        kinds: dict[tuple, list[str]] = {}
-        for file, header in first_lines(spark, path).items() if multi_line else ():
-            kinds.setdefault((_line_sep(header), _can_cut(header)), []).append(file)
-        raw = None
-        for (sep, cut), files in kinds.items() or [((None, False), [path])]:
-            layout = csv_layout(spark, files, multi_line).require(required)
-            part = _cut_files(spark, files, layout, sep) if cut else _whole_files(spark, files, layout)
-            raw = part if raw is None else raw.unionByName(part)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            logger.error("no such input: %s", path)
-            raise FileNotFoundError(path) from error
-        logger.error("cannot read %s: %s", path, error)
-        raise
-    df = clean_rows(raw, na_words)
+    with _named_errors(path):
+        if multi_line:
+            kinds = _kinds(file_headers(spark, path), required)
+            starts = split_starts(spark, [files for (_, cut), files in kinds.items() if cut])
+            parts = [
+                clean_rows(
+                    _cut_files(spark, files, layout, starts).drop(NUMBER)
+                    if cut
+                    else _whole_files(spark, [f.path for f in files], layout),
+                    na_words,
+                )
+                for (layout, cut), files in kinds.items()
+            ]
+        else:
+            paths = [path] if isinstance(path, str) else list(path)
+            layout = csv_layout(spark, paths, False).require(required)
+            parts = [clean_rows(_whole_files(spark, paths, layout), na_words)]
+    df = _together(parts)
     return df.repartition(spread) if spread else df
+
+
+def ingest_examples(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    out: str | None = None,
+    index: str = "row_index",
+    required: Sequence[str] = REQUIRED,
+    na_words: Sequence[str] = NA_WORDS,
+) -> DataFrame:
+    """Turn instruction CSV file(s) into a stored table whose rows are numbered.
+
+    ``index`` counts rows from 0 without gaps, by file name and then by place in
+    the file. The number comes from record counts of the splits, so no text is
+    sorted or shuffled for it, and what is built on the table needs no key by
+    content: give ``index="ex_id"`` to prepare it. All scans happen here and cut
+    the files alike, whatever executors come or go in between. The table is
+    written to ``out``, or to a new place in the shared folder.
+    """
+    session = pinned_session(spark)
+    with _named_errors(path):
+        kinds = _kinds(file_headers(spark, path), required)
+        others, rows = {}, {}
+        for (layout, cut), files in kinds.items():
+            if not cut:
+                rows[layout] = _numbered_in_files(session, files, layout, na_words)
+                for r in rows[layout].groupBy("_file").agg(F.count(F.lit(1)).alias("n"), F.min(NUMBER).alias("first")).collect():
+                    others[r["_file"]] = (r["n"], r["first"])
+        uris = {f.number: f.uri for files in kinds.values() for f in files}
+        sizes = {file: (uris[file], n) for file, (n, _) in others.items()}
+        cuttable = [files for (_, cut), files in kinds.items() if cut]
+        starts = split_starts(session, cuttable, sizes)
+        parts = []
+        for (layout, cut), files in kinds.items():
+            if cut:
+                cells = clean_rows(_cut_files(session, files, layout, starts), na_words, [NUMBER])
+            else:
+                # one row per file that can't be cut
+                shifts = [(file, starts.before(uris[file]) - first) for file, (_, first) in others.items()]
+                moved = session.createDataFrame(shifts, "_file long, _shift long")
+                cells = rows[layout].join(F.broadcast(moved), "_file")
+                cells = cells.withColumn(NUMBER, F.col(NUMBER) + F.col("_shift")).drop("_file", "_shift")
+            parts.append(cells)
+        place = out or fresh_path(spark, "examples")
+        _together(parts).withColumnRenamed(NUMBER, index).write.parquet(place)
+    return spark.read.parquet(place)
+
+
+def _numbered_in_files(
+    spark: SparkSession, files: Sequence[FileHeader], layout: CsvLayout, na_words: Sequence[str]
+) -> DataFrame:
+    """Rows of files that are one task each, in a stored table, numbered upwards in each file."""
+    cells = _whole_files(spark, [f.path for f in files], layout).select(
+        "*",
+        F.xxhash64(F.col("_metadata.file_path")).alias("_file"),
+        F.monotonically_increasing_id().alias(NUMBER),
+    )
+    place = fresh_path(spark, "numbered")
+    clean_rows(cells, na_words, ["_file", NUMBER]).write.parquet(place)
+    return spark.read.parquet(place)
