@@ -3,13 +3,19 @@
 Byte-level BPE never joins text across the start of a blank-led word, so a text
 is cut before single blanks and each piece is encoded by the tokenizer once per
 worker. Pieces around runs of blanks are cut only where the run starts, which is
-where the tokenizer's own word rule cuts as well.
+where the tokenizer's own word rule cuts as well. Letters, with or without a blank
+before them, are one word by that rule, so the tokenizer's model gets them
+directly; a mark behind them is a word of its own, and so is a single line feed
+between visible characters. Texts that hold a token added to the vocabulary, which
+the tokenizer finds before it looks for words, are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
@@ -17,13 +23,26 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces remembered by a worker; beyond that it starts anew. Only speed depends on it.
-MOST_PIECES = 500_000
+#: Bytes of the pieces and ids in one generation of a worker's memory, about. A full
+#: one becomes the older generation, and the older one goes. Only speed depends on it.
+MEMORY_BYTES = 64 << 20
+#: What a remembered piece takes besides its characters and ids.
+ENTRY_BYTES = 190
 #: Longer pieces are encoded each time.
 LONGEST_PIECE = 64
 #: Pieces encoded as one string.
-TOGETHER = 50
+TOGETHER = 100
 BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
+#: Marks that often end a word; each is a word of its own behind letters.
+MARKS = frozenset(".,:;!?")
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: visible
+    Latin-1 characters for themselves, the others are counted on from 256."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)]
 
 
 class Encoder:
@@ -32,15 +51,61 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab()
         #: a byte-level token has one character for each byte
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
+        self.letters = byte_letters()
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        words = rules.get("pre_tokenizer") or {}
+        plain = rules.get("normalizer") is None and words.get("type") == "ByteLevel"
+        plain = plain and words.get("use_regex", True) and not words.get("add_prefix_space")
+        #: whether the model's own words are those of this module
+        self.direct = bool(plain and rules["model"].get("type") == "BPE" and not rules["model"].get("dropout"))
+
+    def _word(self, piece: str) -> bytes:
+        """Ids of letters, with or without a blank before them, by the model alone."""
+        if piece.isascii():
+            found = self.model.tokenize("\u0120" + piece[1:] if piece[0] == " " else piece)
+        else:
+            letters = self.letters
+            found = self.model.tokenize("".join([letters[b] for b in piece.encode()]))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def _ids(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each of the distinct pieces that are not remembered."""
+        out: dict[str, bytes] = {}
+        rest = []
+        memory, word = self.memory, self._word
+        for piece in pieces:
+            body = piece[1:] if piece[0] == " " else piece
+            if not self.direct:
+                rest.append(piece)
+            elif body.isalpha():
+                out[piece] = word(piece)
+            elif body[-1:] in MARKS and body[:-1].isalpha():
+                stem = piece[:-1]
+                ids = memory.get(stem) or out.get(stem)
+                if ids is None:
+                    ids = out[stem] = word(stem)
+                out[piece] = ids + self._mark(piece[-1])
+            else:
+                rest.append(piece)
+        out.update(zip(rest, self._together(rest), strict=True))
+        return out
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+    @lru_cache(maxsize=16)  # noqa: B019 - an encoder lives as long as its worker
+    def _mark(self, mark: str) -> bytes:
+        return array("I", self.tokenizer.encode(mark, add_special_tokens=False).ids).tobytes()
+
+    def _together(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece; pieces that a blank leads are encoded together and cut by their bytes."""
         out: list[bytes] = [b""] * len(pieces)
         joined = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2].strip()]
@@ -64,19 +129,54 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        memory = self.memory
-        if len(memory) > MOST_PIECES:
-            memory.clear()
-        cut = [pieces_of(t) for t in texts]
+        if self.held > MEMORY_BYTES:
+            self.older, self.memory, self.held = self.memory, {}, 0
+        memory, older = self.memory, self.older
+        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        cut = [[] if i in whole else pieces_of(t) for i, t in enumerate(texts)]
         new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in memory))
-        memory.update(zip(new, self._ids(new), strict=True))
+        lines = {p: parts for p in new if "\n" in p and (parts := lines_of(p))} if self.direct else {}
+        parts = [q for p in new for q in lines.get(p, (p,)) if q not in memory]
+        found, unknown = {}, []
+        for q in dict.fromkeys(parts):
+            if (ids := older.get(q)) is None:
+                unknown.append(q)
+            else:
+                found[q] = ids
+        memory.update(found)
+        found |= self._ids(unknown)
+        memory.update(found)
+        for p, parts in lines.items():
+            memory[p] = b"".join([memory[q] for q in parts])
         out = [b"".join([memory[p] for p in pieces]) for pieces in cut]
-        for p in new:
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            out[i] = np.array(ids, dtype="<u4").tobytes()
+        for p in lines:  # few of them come again
+            del memory[p]
+        for p, ids in found.items():
             if len(p) > LONGEST_PIECE:
                 del memory[p]
+            else:
+                self.held += len(p) + len(ids) + ENTRY_BYTES
         return out
 
 
+def lines_of(piece: str) -> list[str] | None:
+    """A piece cut around its line feeds, where each has visible characters on both
+    sides and so is a word of its own; None where one has not."""
+    lines = piece.split("\n")
+    blank = piece[0] == " "
+    for i, line in enumerate(lines):
+        body = line[1:] if blank and not i else line
+        if not body or body[0].isspace() or body[-1].isspace():
+            return None
+    out = lines[:1]
+    for line in lines[1:]:
+        out += ("\n", line)
+    return out
+
+
 def pieces_of(text: str) -> list[str]:
     """The text cut before blanks that follow a visible character."""
     if "  " in text:
@@ -87,12 +187,8 @@ def pieces_of(text: str) -> list[str]:
 
 @contextmanager
 def borrowed(path: str) -> Iterator[Encoder]:
-    """The worker's encoder for one task; the pieces it remembers go with the task."""
-    one = encoder(path)
-    try:
-        yield one
-    finally:
-        one.memory = {}
+    """The worker's encoder, with the pieces that earlier tasks of the worker met."""
+    yield encoder(path)
 
 
 @lru_cache(maxsize=2)

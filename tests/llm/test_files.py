@@ -11,6 +11,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 from loomfeed.llm import cutting_stock, packing, rans, token_files, warc
+from loomfeed.llm import tokens
 from loomfeed.llm.tokens import Encoder
 from loomfeed.session import fresh_path
 
@@ -18,13 +19,14 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     "a  b", "  a", " a", "a\n  b", "a\t b  ", "", " ", "x's 's  y  z\n\n q", "<|endoftext|> hi", "  é  ü",
     "no blanks" * 3000, "word " * 9000, "日本語 テキスト", "\x1c \x1d x", "1234 5678!! ?", "trailing \n ",
+    "a<|endoftext|> b", "end.\nNext it's\n's\n\nlast", "a\n b", "a \nb", "x.\n.y\nz", "\n", "a\r\nb", "don't, won't; 'll",
+    "naïve, été.\nÜber;", "a\x85b\n\u2003c", "A1\nb2 c_d", "ǅ ªº ² ½", "\n\n a\n",
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
     one = Tokenizer.from_file(PATH)
-    one.encode_special_tokens = True
     return lambda text: one.encode(text or "", add_special_tokens=False).ids
 
 
@@ -38,6 +40,22 @@ def test_pieces_encode_as_the_whole(tokenizer):
         assert encoder.encode(TEXTS) == [little(tokenizer(t)) for t in TEXTS]
 
 
+def test_random_texts_encode_as_by_the_plain_call(tokenizer):
+    rng, encoder = random.Random(5), Encoder(PATH)
+    parts = ["a", "the", "Über", " ", " ", "  ", "\n", "\n", "\t", ".", ",", "'s", "'", "1", "é", "日", "\x1c", "\u00a0", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(4000)]
+    assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
+
+
+def test_remembered_pieces_are_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY_BYTES", 10_000)
+    encoder = Encoder(PATH)
+    for at in range(0, 4000, 100):
+        texts = [f"w{i} x{i}.\ny{i}" for i in range(at, at + 100)]
+        assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
+        assert len(encoder.memory) + len(encoder.older) < 1000
+
+
 def test_rans_round_trips_from_any_checkpoint():
     rng = np.random.default_rng(0)
     for n, lanes, every in ((0, 4, 2), (1, 4, 2), (7, 4, 1), (5000, 16, 32)):
