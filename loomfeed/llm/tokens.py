@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 #: Bytes of the pieces and ids in one generation of a worker's memory, about. A full
 #: one becomes the older generation, and the older one goes. Only speed depends on it.
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 32 << 20
 #: What a remembered piece takes besides its characters and ids.
 ENTRY_BYTES = 190
 #: Longer pieces are encoded each time.
@@ -187,8 +187,12 @@ def pieces_of(text: str) -> list[str]:
 
 @contextmanager
 def borrowed(path: str) -> Iterator[Encoder]:
-    """The worker's encoder, with the pieces that earlier tasks of the worker met."""
-    yield encoder(path)
+    """The worker's encoder for one task; the pieces it remembers go with the task."""
+    one = encoder(path)
+    try:
+        yield one
+    finally:
+        one.memory, one.older, one.held = {}, {}, 0
 
 
 @lru_cache(maxsize=2)
