@@ -52,6 +52,7 @@ def main():
         q.documents(spark, SF_DIR).select(F.col("doc_id").alias("ex_id"), F.lit(0).alias("copy_id"), "text")
     )
     doc_vocab = q.vocab_of(docs, VOCAB, "text")
+    numbered = stored(q.renumber(ready.select(*q.KEY)))
 
     def encode_documents():
         ids = q.encode_words(docs, doc_vocab, LENGTH, text="text").drop("text")
@@ -84,6 +85,9 @@ def main():
         "stream_csv": lambda: q.stream_instruction_csv(spark, SF_DIR),
         "write_examples": lambda: q.write_examples_parquet(spark, SF_DIR),
         "scan_csv": lambda: q.scan_instruction_csv(spark, SF_DIR),
+        "ingest_csv": lambda: q.scan_row_index(spark, SF_DIR),
+        "encode_pieces": lambda: q.encode_pieces(docs, doc_vocab, LENGTH, text="text").drop("text"),
+        "keyed_epochs": lambda: q.assign_batches(q.keyed_epochs(numbered, q.EPOCHS, rows * q.COPIES), q.BATCH, q.WORLD, q.ACCUM),
         "renumber": lambda: q.renumber(ready.select(*q.KEY)),
         "train_test_split": lambda: q.split(ready, q.TEST_SIZE),
         "epochs_and_batches": feed,
