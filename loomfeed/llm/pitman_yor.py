@@ -1,23 +1,27 @@
 """Hierarchical Pitman-Yor language model over words, fitted and applied by Spark jobs.
 
-Restaurants: one per context of the previous word (hashed to ``2**CONTEXT_BITS``),
-all with the root restaurant as parent, whose own base is uniform over the known
-words and one unknown word. Customers of a context are the training tokens after
-it; every table of a context sends a customer to the root.
-
-Data are dealt by ranges of word hash, so all contexts of a word are in one
-part, and a part's seating needs only totals per context and three sums from
+Restaurants: one per previous word, all with the root restaurant as parent, whose
+own base is uniform over the known words and one unknown word. Customers of a
+context are the training tokens after it; every table of a context sends a
+customer to the root. There are as many restaurants as previous words (told apart
+by 40 bits of their hash, so that of 100 million words about 4,500 pairs share one).
+
+Data are dealt by ranges of word hash, so all contexts of a word are in one part,
+and a part's seating needs only the totals of the contexts it meets, and sums from
 elsewhere. A Gibbs sweep draws the number of tables of every context and word
 given the totals of the sweep before (a block of seats at once, by generalized
-Stirling numbers), then those of the root. Seatings are not stored: with the
-totals of all sweeps and a seed per part and sweep they are replayed. Predictive
-probabilities are averaged over the sweeps after the burn-in.
-
-Documents are read in batches. A batch sends each part its distinct pairs of
-context and word with their training counts, and gets back a log probability
-per pair; a second reading of the same batch adds these up per document. So what
-moves is one entry per distinct pair and batch, a few bytes each, and a
-frequent pair is one entry in each batch.
+Stirling numbers), then those of the root. Totals of contexts are made like any
+aggregate: each part sends what it holds of a range of contexts, each range adds
+up and sends every part the totals of its contexts back. Only two counts a part come
+to the driver. Parts, seatings and totals are files in the shared folder, so a sweep
+goes on from the sweep before. Predictive probabilities are averaged over the
+sweeps after the burn-in.
+
+Documents are read once, in batches. A batch is stored as places among its distinct
+pairs of context and word, and sends each part its pairs with their training
+counts; it gets back a log probability per pair, added up per document. What
+moves is one entry per distinct pair and batch, a few bytes each, and a frequent
+pair is one entry in each batch.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomfeed.llm.common import (
@@ -43,9 +48,11 @@ from loomfeed.llm.common import (
 )
 from loomfeed.session import fresh_path
 
-CONTEXT_BITS = 15
+CONTEXT_BITS = 40
 #: Text of a batch, about.
 BATCH_BYTES = 16 << 20
+#: Pairs of a part that wait until they are added to the ones before.
+PENDING = 1 << 22
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0
 #: Customers up to which the tables are drawn exactly; beyond, seats are drawn in growing blocks.
@@ -64,61 +71,103 @@ def text_hashes(text: bytes) -> np.ndarray:
     return out
 
 
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Whole numbers from 0 as compressed byte planes, each as wide as its largest value needs."""
+    head, planes = [len(arrays)], []
+    for array in arrays:
+        array = np.ascontiguousarray(array, dtype="<u8")
+        width = (int(array.max()).bit_length() + 7) // 8 if len(array) else 0
+        head += [len(array), width]
+        planes.append(array.view("u1").reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.array(head, dtype="<u8").tobytes() + b"".join(planes))
+
+
+def spread(data: bytes) -> list[np.ndarray]:
+    """The arrays of ``squeeze``."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    number = int(np.frombuffer(data, "<u8", 1)[0])
+    head = np.frombuffer(data, "<u8", 2 * number, 8).tolist()
+    at, out = 8 + 16 * number, []
+    for n, width in zip(head[::2], head[1::2], strict=True):
+        wide = np.zeros((n, 8), dtype="u1")
+        wide[:, :width] = np.frombuffer(data, "u1", n * width, at).reshape(width, n).T
+        out.append(wide.view("<u8").ravel())
+        at += n * width
+    return out
+
+
+def read_file(path: str) -> bytes:
+    system, place = file_system(path)
+    with system.open_input_stream(place, compression=None) as source:
+        return source.read()
+
+
+def steps_of(word_of: np.ndarray) -> np.ndarray:
+    return np.diff(word_of, prepend=0)  # 0 or 1: each word has a pair
+
+
 class Batch:
     """Tokens of some documents as places among their distinct pairs and words."""
 
-    def __init__(self, tokens: list[np.ndarray], held: np.ndarray):
+    def __init__(self, keys: list, held: list, tokens: list[np.ndarray]):
+        self.keys, self.held = keys, np.array(held, dtype=bool)
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        words = np.concatenate(tokens)
-        before = np.empty_like(words)
-        before[1:] = words[:-1]
-        before[np.cumsum(self.sizes) - self.sizes] = BEGIN
+        self.words, word_at = np.unique(np.concatenate(tokens), return_inverse=True)
+        n = len(self.words)
+        before = np.empty_like(word_at)
+        before[1:] = word_at[:-1]
+        before[np.cumsum(self.sizes) - self.sizes] = n
+        pairs, self.pair_at = np.unique(word_at * (n + 1) + before, return_inverse=True)
+        self.word_of = pairs // (n + 1)
         with np.errstate(over="ignore"):
-            context = ((before * SPREAD) >> np.uint64(64 - CONTEXT_BITS)).astype(np.int64)
-        self.words, self.word_at = np.unique(words, return_inverse=True)
-        pairs = (self.word_at << CONTEXT_BITS) | context
-        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
-        train = np.repeat(~held, self.sizes)
-        self.counts = np.bincount(self.pair_at[train], minlength=len(self.pairs))
-        digest = xxhash.xxh3_128(self.words.tobytes())
-        digest.update(self.pairs.tobytes())
-        digest.update(self.sizes.tobytes())
-        self.name = digest.hexdigest()
+            contexts = (np.append(self.words, BEGIN) * SPREAD) >> np.uint64(64 - CONTEXT_BITS)
+        self.context = contexts[pairs % (n + 1)]
+        train = np.repeat(~self.held, self.sizes)
+        self.counts = np.bincount(self.pair_at[train], minlength=len(pairs))
 
     def requests(self, parts: int) -> Iterator[tuple[int, bytes]]:
         """For each part its words and pairs."""
         part = ((self.words >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        word_of = self.pairs >> CONTEXT_BITS
         edges = np.flatnonzero(np.diff(part, prepend=np.uint64(parts + 1)))
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(part)], strict=True):
-            x, y = np.searchsorted(word_of, (a, b))
-            yield int(part[a]), pack(
-                self.words[a:b],
-                (word_of[x:y] - a).astype("<u4"),
-                (self.pairs[x:y] & ((1 << CONTEXT_BITS) - 1)).astype("<u2"),
-                self.counts[x:y].astype("<u4"),
-            )
-
-
-def pack(words: np.ndarray, word_of: np.ndarray, context: np.ndarray, counts: np.ndarray) -> bytes:
-    steps = np.diff(word_of.astype(np.int64), prepend=0).astype("u1")  # each word has a pair
-    head = np.array([len(words), len(context)], dtype="<u4").tobytes()
-    data = head + words.astype("<u8").tobytes() + steps.tobytes() + context.tobytes() + counts.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(data)
-
-
-def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(data)
-    n, m = np.frombuffer(data, "<u4", 2).tolist()
-    at = 8 + 8 * n
-    words = np.frombuffer(data, "<u8", n, 8)
-    word_of = np.cumsum(np.frombuffer(data, "u1", m, at), dtype=np.int64)
-    context = np.frombuffer(data, "<u2", m, at + m).astype(np.int64)
-    return words, word_of, context, np.frombuffer(data, "<u4", m, at + 3 * m).astype(np.int64)
-
-
-def batches_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, Batch]]:
-    """Keys, held-out marks and tokens, a bounded batch at a time; the same on every reading."""
+            x, y = np.searchsorted(self.word_of, (a, b))
+            steps = steps_of(self.word_of[x:y] - a)
+            yield int(part[a]), squeeze(self.words[a:b], steps, self.context[x:y], self.counts[x:y])
+
+    def rows(self) -> pa.RecordBatch:
+        keys = pa.array(self.keys)
+        if keys.type == pa.null():
+            keys = keys.cast(pa.int64())
+        return pa.RecordBatch.from_arrays([keys, pa.array(self.held), pa.array(self.sizes)], ["key", "held", "size"])
+
+    def save(self, path: str) -> None:
+        """Documents, their sizes, and the places of their tokens among the pairs."""
+        sink = pa.BufferOutputStream()
+        rows = self.rows()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_batch(rows)
+        rows = sink.getvalue().to_pybytes()
+        places = squeeze(self.pair_at, steps_of(self.word_of))
+        write_file(path, [len(rows).to_bytes(8, "little"), rows, places])
+
+
+def saved_batch(path: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """Documents, place of each token among the pairs, word of each pair."""
+    data = read_file(path)
+    size = int.from_bytes(data[:8], "little")
+    with pa.ipc.open_stream(data[8 : 8 + size]) as source:
+        rows = source.read_next_batch()
+    pair_at, steps = spread(data[8 + size :])
+    return rows, pair_at.astype(np.int64), np.cumsum(steps.astype(np.int64))
+
+
+def request_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    words, steps, context, counts = spread(data)
+    return words, np.cumsum(steps.astype(np.int64)), context, counts.astype(np.int64)
+
+
+def batches_of(batches: Iterable[pa.RecordBatch]) -> Iterator[Batch]:
+    """A bounded batch of keys, held-out marks and tokens at a time."""
     keys, held, tokens, size = [], [], [], 0
     for batch in batches:
         for some in slices(batch, "text"):
@@ -128,12 +177,10 @@ def batches_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, np.nda
                 tokens.append(text_hashes(bytes(t)))
                 size += len(t)
             if size >= BATCH_BYTES:
-                marks = np.array(held, dtype=bool)
-                yield keys, marks, Batch(tokens, marks)
+                yield Batch(keys, held, tokens)
                 keys, held, tokens, size = [], [], [], 0
     if keys:
-        marks = np.array(held, dtype=bool)
-        yield keys, marks, Batch(tokens, marks)
+        yield Batch(keys, held, tokens)
 
 
 def stirling(discount: float, most: int = EXACT) -> np.ndarray:
@@ -181,7 +228,7 @@ def draw_tables(
 class Totals:
     """Sums over all parts before a sweep."""
 
-    tables: np.ndarray  # of each context
+    tables: np.ndarray  # of each context of the part
     root_customers: float
     root_tables: float
 
@@ -190,7 +237,6 @@ class Totals:
 class Fixed:
     """What the training counts alone decide."""
 
-    customers: np.ndarray  # of each context
     tokens: int
     words: int
     discount: float
@@ -202,50 +248,58 @@ class Fixed:
 
 
 class Part:
-    """All pairs of some words that occur in training, and their seating."""
+    """All pairs of some words that occur in training, and their seating.
+
+    ``contexts`` are those of all its pairs and of all pairs it is asked for, in
+    order; ``context`` holds places among them, ``customers`` their training tokens.
+    """
 
-    def __init__(self, number: int, words, word_of, context, counts):
-        self.number = number
-        self.words, self.word_of, self.context, self.counts = words, word_of, context, counts
-        self.keys = (word_of << CONTEXT_BITS) | context
-        self.tables = np.ones(len(counts), dtype=np.int64)
-        self.dishes = np.bincount(word_of, minlength=len(words))  # root customers of each word
-        self.root_tables = np.ones(len(words), dtype=np.int64)
+    def __init__(self, number: int, words, contexts, word_of, context, counts):
+        self.number, self.words, self.contexts = number, words, contexts
+        self.word_of, self.context, self.counts = word_of, context, counts
+        self.keys = word_of * len(contexts) + context
+        self.customers = np.zeros(len(contexts))
+        self.seat(np.ones(len(counts), dtype=np.int64), np.ones(len(words), dtype=np.int64))
+
+    def seat(self, tables: np.ndarray, root_tables: np.ndarray) -> None:
+        self.tables, self.root_tables = tables, root_tables
+        # root customers of each word
+        self.dishes = np.bincount(self.word_of, weights=tables, minlength=len(self.words)).astype(np.int64)
 
     def root(self, fixed: Fixed, totals: Totals) -> np.ndarray:
         """The root's probability of each word."""
         new = (STRENGTH + fixed.root_discount * totals.root_tables) * fixed.base
         return (self.dishes - fixed.root_discount * self.root_tables + new) / (STRENGTH + totals.root_customers)
 
-    def sweep(self, fixed: Fixed, totals: Totals, turn: int, seed: int, tables) -> None:
+    def sweep(self, fixed: Fixed, totals: Totals, turn: int, seed: int) -> None:
         rng = np.random.default_rng((seed, turn, self.number))
         mass = (STRENGTH + fixed.discount * totals.tables)[self.context] * self.root(fixed, totals)[self.word_of]
-        self.tables = draw_tables(self.counts, mass, fixed.discount, tables[0], rng)
-        self.dishes = np.bincount(self.word_of, weights=self.tables, minlength=len(self.words)).astype(np.int64)
+        tables = draw_tables(self.counts, mass, fixed.discount, stirling(fixed.discount), rng)
+        self.seat(tables, self.root_tables)
         new = np.full(len(self.words), (STRENGTH + fixed.root_discount * totals.root_tables) * fixed.base)
-        self.root_tables = draw_tables(self.dishes, new, fixed.root_discount, tables[1], rng)
+        drawn = draw_tables(self.dishes, new, fixed.root_discount, stirling(fixed.root_discount), rng)
+        self.seat(tables, drawn)
 
-    def sums(self) -> tuple[np.ndarray, int, int]:
-        per = np.bincount(self.context, weights=self.tables, minlength=1 << CONTEXT_BITS)
-        return per.astype(np.int64), int(self.dishes.sum()), int(self.root_tables.sum())
+    def per_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, weights=values, minlength=len(self.contexts)).astype(np.int64)
 
     def predict(self, request, fixed: Fixed, totals: Totals) -> np.ndarray:
         """Probability of each pair of a request."""
-        words, word_of, context, _ = request
-        here = np.searchsorted(self.words, words)
-        here = np.minimum(here, max(0, len(self.words) - 1))
+        words, word_of, asked, _ = request
+        context = np.searchsorted(self.contexts, asked)
+        here = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
         known = self.words[here] == words if len(self.words) else np.zeros(len(words), bool)
         unseen = (STRENGTH + fixed.root_discount * totals.root_tables) * fixed.base
         unseen /= STRENGTH + totals.root_customers
         root = np.where(known, self.root(fixed, totals)[here], unseen) if len(self.words) else np.full(len(words), unseen)
-        keys = (here[word_of] << CONTEXT_BITS) | context
+        keys = here[word_of] * len(self.contexts) + context
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         own = np.zeros(len(keys))
         if len(self.keys):
             seen = (self.keys[at] == keys) & known[word_of]
             own = np.where(seen, self.counts[at] - fixed.discount * self.tables[at], 0.0)
         new = (STRENGTH + fixed.discount * totals.tables)[context] * root[word_of]
-        return (own + new) / (STRENGTH + fixed.customers[context])
+        return (own + new) / (STRENGTH + self.customers[context])
 
     def known_counts(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -255,20 +309,50 @@ class Part:
         return np.where(self.words[here] == words, totals[here], 0)
 
 
-def merge(number: int, requests: list[bytes]) -> Part:
-    """The training pairs of a part."""
-    opened = []
-    for data in requests:
-        words, word_of, context, counts = unpack(data)
+class Gathering:
+    """The training pairs of a part, added up as requests come in."""
+
+    def __init__(self) -> None:
+        self.words, self.contexts = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.pairs = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.waiting: list[tuple] = []
+        self.size = 0
+
+    def add(self, data: bytes) -> None:
+        words, word_of, context, counts = request_of(data)
         keep = counts > 0
-        opened.append((words[word_of[keep]], context[keep], counts[keep]))
-    names = np.concatenate([o[0] for o in opened] or [np.empty(0, np.uint64)])
-    context = np.concatenate([o[1] for o in opened] or [np.empty(0, np.int64)])
-    counts = np.concatenate([o[2] for o in opened] or [np.empty(0, np.int64)])
-    words, word_of = np.unique(names, return_inverse=True)
-    keys, at = np.unique((word_of << CONTEXT_BITS) | context, return_inverse=True)
-    counts = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
-    return Part(number, words, keys >> CONTEXT_BITS, keys & ((1 << CONTEXT_BITS) - 1), counts)
+        self.waiting.append((words[word_of[keep]], context[keep], counts[keep], np.unique(context)))
+        self.size += len(context)
+        if self.size >= max(PENDING, len(self.pairs[2])):
+            self.settle()
+
+    def settle(self) -> None:
+        word_of, context, counts = self.pairs
+        waiting = [(self.words[word_of], self.contexts[context], counts, self.contexts), *self.waiting]
+        names, asked, numbers, contexts = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        self.contexts = np.unique(contexts)
+        self.words, word_of = np.unique(names, return_inverse=True)
+        most = max(1, len(self.contexts))
+        keys, at = np.unique(word_of * most + np.searchsorted(self.contexts, asked), return_inverse=True)
+        counts = np.bincount(at, weights=numbers, minlength=len(keys)).astype(np.int64)
+        self.pairs = keys // most, keys % most, counts
+        self.waiting, self.size = [], 0
+
+    def save(self, path: str) -> None:
+        self.settle()
+        word_of, context, counts = self.pairs
+        write_file(path, [squeeze(self.words, self.contexts, steps_of(word_of), context, counts)])
+
+
+def in_order(batches: Iterable[pa.RecordBatch], column: int = 0) -> Iterator[tuple[int, list[dict]]]:
+    """Runs of rows with one number in a column, a bounded piece of a run at a time."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        start = 0
+        for i in range(1, len(rows) + 1):
+            if i == len(rows) or rows[i][batch.schema.names[column]] != rows[start][batch.schema.names[column]]:
+                yield rows[start][batch.schema.names[column]], rows[start:i]
+                start = i
 
 
 def discount_of(once: int, twice: int) -> float:
@@ -277,97 +361,160 @@ def discount_of(once: int, twice: int) -> float:
 
 
 class Model:
-    """A fitted model: the parts' table in the shared folder, totals of all sweeps."""
+    """A fitted model: parts, seatings and totals of all sweeps, as files of one folder."""
 
-    def __init__(self, parts: DataFrame, count: int, seed: int):
-        self.parts, self.count, self.seed = parts, count, seed
+    def __init__(self, spark: SparkSession, folder: str, count: int, seed: int):
+        self.spark, self.folder, self.count, self.seed = spark, folder, count, seed
         self.fixed: Fixed | None = None
-        self.totals: list[Totals] = []
-
-    def _job(self, run, kinds: str) -> DataFrame:
-        """Map over the parts; ``run`` gets each part, replayed as far as there are totals."""
-        shared = self.parts.sparkSession.sparkContext.broadcast((self.fixed, self.totals, self.seed))
-
-        def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            fixed, totals, seed = shared.value
+        self.sums: list[tuple[float, float]] = []  # root customers and tables after each sweep
+
+    def load(self, number: int, turn: int | None = None) -> tuple[Part, Totals | None] | None:
+        """A part, seated as after a sweep, with the totals then; None if nothing is in it."""
+        path = f"{self.folder}/part-{number}"
+        system, place = file_system(path)
+        if system.get_file_info(place).type.name == "NotFound":
+            return None
+        words, contexts, steps, context, counts = spread(read_file(path))
+        word_of = np.cumsum(steps.astype(np.int64))
+        part = Part(number, words, contexts, word_of, context.astype(np.int64), counts.astype(np.int64))
+        if turn is None:
+            return part, None
+        customers, tables = self._totals(number, 0)
+        part.customers = customers.astype(float)
+        if turn:
+            (tables,) = self._totals(number, turn)
+            seated = spread(read_file(f"{self.folder}/seats-{turn}-{number}"))
+            part.seat(*(x.astype(np.int64) for x in seated))
+        return part, Totals(tables.astype(float), *self.sums[turn])
+
+    def _totals(self, number: int, turn: int) -> list[np.ndarray]:
+        return spread(read_file(f"{self.folder}/totals-{turn}-{number}"))
+
+    def _exchange(self, turn: int, run) -> np.ndarray:
+        """Add up over all parts what ``run`` gives: numbers per context, and plain sums.
+
+        The totals of each part's contexts become its file; the sums are returned.
+        """
+        count, folder = self.count, self.folder
+        load = self._loader(None if turn == 0 else turn - 1)
+        schema = pa.schema([("range", pa.int32()), ("part", pa.int32()), ("blob", pa.binary()), ("sums", pa.list_(pa.int64()))])
+        kinds = "range int, part int, blob binary, sums array<long>"
+
+        def sending(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for i in range(batch.num_rows):
-                    requests = batch.column(1)[i]
-                    data = [r["blob"].as_py() for r in requests]
-                    names = [r["batch"].as_py() for r in requests]
-                    yield from run(merge(batch.column(0)[i].as_py(), data), names, data, fixed, totals, seed)
-
-        return self.parts.mapInArrow(over, kinds)
-
-    def _sums(self, of) -> dict[int, int]:
-        """Totals by id over all parts; at most one row per context and few more."""
-
-        def run(part, names, data, fixed, totals, seed):
-            values = of(part, fixed, totals, seed)
-            used = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(values[used])], ["id", "n"])
-
-        found = self._job(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-        return dict(zip(found["id"].to_pylist(), found["n"].to_pylist(), strict=True))
+                for number in batch.column(0).to_pylist():
+                    loaded = load(number)
+                    if loaded is None:
+                        continue
+                    part, values, sums = run(*loaded)
+                    marks = (np.arange(count + 1, dtype=np.uint64) << np.uint64(CONTEXT_BITS)) // np.uint64(count)
+                    edges = np.searchsorted(part.contexts, marks)
+                    for r, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+                        if a < b:
+                            steps = np.diff(part.contexts[a:b], prepend=marks[r])
+                            blob = squeeze(steps, *(v[a:b] for v in values))
+                            yield batch_of(schema, [[r], [number], [blob], [sums]])
+                            sums = []
+
+        def adding(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, rows = None, []
+
+            def total() -> Iterator[pa.RecordBatch]:
+                opened = [spread(r["blob"]) for r in rows]
+                contexts = np.concatenate([np.cumsum(o[0]) for o in opened])
+                _, at = np.unique(contexts, return_inverse=True)
+                totals = [
+                    np.bincount(at, weights=np.concatenate(v).astype(float))[at]
+                    for v in zip(*(o[1:] for o in opened), strict=True)
+                ]
+                start = 0
+                for r, o in zip(rows, opened, strict=True):
+                    blob = squeeze(*(t[start : start + len(o[0])] for t in totals))
+                    start += len(o[0])
+                    yield batch_of(schema, [[now], [r["part"]], [blob], [r["sums"]]])
+
+            for number, some in in_order(batches):
+                if number != now:
+                    if rows:
+                        yield from total()
+                    now, rows = number, []
+                rows += some
+            if rows:
+                yield from total()
+
+        def filing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, opened, sums = None, [], []
+
+            def flush() -> None:
+                values = [np.concatenate(v) for v in zip(*opened, strict=True)]
+                write_file(f"{folder}/totals-{turn}-{now}", [squeeze(*values)])
+
+            for number, some in in_order(batches, 1):
+                if number != now:
+                    if opened:
+                        flush()
+                    now, opened = number, []
+                opened += [spread(r["blob"]) for r in some]
+                sums += [r["sums"] for r in some if r["sums"]]
+            if opened:
+                flush()
+            yield batch_of(pa.schema([("sums", pa.list_(pa.int64()))]), [sums])
+
+        sent = self.spark.range(0, count, 1, count).mapInArrow(sending, kinds)
+        sent = sent.repartition(count, "range").sortWithinPartitions("range", "part").mapInArrow(adding, kinds)
+        sent = sent.repartition(count, "part").sortWithinPartitions("part", "range")
+        # one short list for each part
+        found = sent.mapInArrow(filing, "sums array<long>").collect()
+        return np.array([r["sums"] for r in found], dtype=np.int64).sum(axis=0) if found else np.zeros(7, np.int64)
+
+    def _loader(self, turn: int | None):
+        """``load`` without what can't be sent to a task."""
+        model = Model(None, self.folder, self.count, self.seed)
+        model.fixed, model.sums = self.fixed, list(self.sums)
+        return lambda number: model.load(number, turn)
 
     def fit(self, sweeps: int) -> Model:
-        size = 1 << CONTEXT_BITS
-
-        def counts(part: Part, *_):
-            per = np.bincount(part.context, weights=part.counts, minlength=size).astype(np.int64)
-            kinds = np.bincount(part.context, minlength=size)
+        def start(part: Part, _):
             pairs, dishes = part.counts, part.dishes
-            rest = [pairs.sum(), len(part.words), (pairs == 1).sum(), (pairs == 2).sum(), (dishes == 1).sum(), (dishes == 2).sum()]
-            return np.concatenate((per, kinds, np.array(rest, dtype=np.int64)))
-
-        found = self._sums(counts)
-        values = np.array([found.get(i, 0) for i in range(2 * size + 6)], dtype=np.int64)
-        tokens, words, *kinds = values[2 * size :].tolist()
-        discounts = discount_of(*kinds[:2]), discount_of(*kinds[2:])
-        self.fixed = Fixed(values[:size].astype(float), tokens, words, *discounts)
-        first = values[size : 2 * size].astype(float)
-        self.totals = [Totals(first, float(first.sum()), float(words))]
-        for _ in range(sweeps):
-
-            def after(part: Part, fixed: Fixed, totals: list[Totals], seed: int):
-                replay(part, fixed, totals, seed)
-                per, customers, tables = part.sums()
-                return np.concatenate((per, [customers, tables]))
-
-            found = self._sums(after)
-            values = np.array([found.get(i, 0) for i in range(size + 2)], dtype=float)
-            self.totals.append(Totals(values[:size], values[size], values[size + 1]))
+            sums = [pairs.sum(), len(part.words), (pairs == 1).sum(), (pairs == 2).sum(), (dishes == 1).sum(), (dishes == 2).sum()]
+            customers, kinds = part.per_context(pairs), part.per_context(part.tables)
+            return part, (customers, kinds), [*map(int, sums), len(pairs)]
+
+        tokens, words, *kinds, pairs = self._exchange(0, start).tolist()
+        self.fixed = fixed = Fixed(tokens, words, discount_of(*kinds[:2]), discount_of(*kinds[2:]))
+        self.sums.append((float(pairs), float(words)))
+        folder, seed = self.folder, self.seed
+        for turn in range(1, sweeps + 1):
+
+            def sweep(part: Part, totals: Totals, turn: int = turn):
+                part.sweep(fixed, totals, turn, seed)
+                write_file(f"{folder}/seats-{turn}-{part.number}", [squeeze(part.tables, part.root_tables)])
+                sums = [int(part.dishes.sum()), int(part.root_tables.sum())]
+                return part, (part.per_context(part.tables),), sums
+
+            customers, tables = self._exchange(turn, sweep).tolist()[:2]
+            self.sums.append((float(customers), float(tables)))
         return self
 
-    def answers(self, burn_in: int) -> DataFrame:
+    def answers(self, requests: DataFrame, burn_in: int) -> DataFrame:
         """``batch, part, blob``: log10 probability per pair, training count per word."""
+        fixed = self.fixed
+        loaders = [self._loader(turn) for turn in range(burn_in + 1, len(self.sums))]
+        schema = pa.schema([("batch", pa.string()), ("part", pa.int32()), ("blob", pa.binary())])
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, seated = None, []
+            for number, some in in_order(batches):
+                if number != now:
+                    now, seated = number, [load(number) for load in loaders]
+                for row in some:
+                    request = request_of(row["blob"])
+                    mean = sum(part.predict(request, fixed, totals) for part, totals in seated) / len(seated)
+                    logs = np.log10(mean).astype("<f4")
+                    counts = seated[0][0].known_counts(request[0])
+                    yield batch_of(schema, [[row["batch"]], [number], [squeeze(logs.view("<u4"), counts)]])
 
-        def run(part: Part, names, data, fixed: Fixed, totals: list[Totals], seed: int):
-            tables = stirling(fixed.discount), stirling(fixed.root_discount)
-            kept: list[tuple[Part, Totals]] = []
-            for turn in range(len(totals) - 1):
-                part.sweep(fixed, totals[turn], turn, seed, tables)
-                if turn >= burn_in:
-                    now = Part(part.number, part.words, part.word_of, part.context, part.counts)
-                    now.tables, now.dishes, now.root_tables = part.tables, part.dishes, part.root_tables
-                    kept.append((now, totals[turn + 1]))
-            schema = pa.schema([("batch", pa.string()), ("part", pa.int32()), ("blob", pa.binary())])
-            for name, blob in zip(names, data, strict=True):
-                request = unpack(blob)
-                mean = sum(p.predict(request, fixed, t) for p, t in kept) / len(kept)
-                logs = np.log10(mean).astype("<f4")
-                counts = part.known_counts(request[0]).astype("<u8")
-                head = np.array([len(logs), len(counts)], dtype="<u4").tobytes()
-                answer = zstandard.ZstdCompressor(level=1).compress(head + logs.tobytes() + counts.tobytes())
-                yield batch_of(schema, [[name], [part.number], [answer]])
-
-        return self._job(run, "batch string, part int, blob binary")
-
-
-def replay(part: Part, fixed: Fixed, totals: list[Totals], seed: int) -> None:
-    tables = stirling(fixed.discount), stirling(fixed.root_discount)
-    for turn, before in enumerate(totals):
-        part.sweep(fixed, before, turn, seed, tables)
+        return requests.mapInArrow(run, "batch string, part int, blob binary")
 
 
 def rows_of(docs: DataFrame, key: str, text: str, held_out) -> DataFrame:
@@ -383,88 +530,88 @@ def score(
     ``held_out`` is a boolean column: rows that the model doesn't learn from. A
     null or empty text is one end token. Repeated rows are learned and scored
     each; an empty table gives an empty result; without training rows every word
-    is unknown. ``docs`` is read twice and must be a stable table (files or a
-    checkpoint), as a batch finds its answers by its content.
+    is unknown. ``docs`` is read once, and a repeated task must meet its rows in the
+    same order, as it does with files or a checkpoint.
     """
     spark = docs.sparkSession
     rows = rows_of(docs, key, text, held_out)
     count = max(1, partitions_for(spark))
+    folder = fresh_path(spark, "pitman-yor")
+    kinds = "part int, batch string, blob binary"
+    schema = pa.schema([("part", pa.int32()), ("batch", pa.string()), ("blob", pa.binary())])
 
     def asking(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("batch", pa.string()), ("blob", pa.binary())])
-        for _, _, batch in batches_of(batches):
+        place = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches_of(batches)):
+            name = f"{place}-{number}"  # the same when the task is repeated
+            batch.save(f"{folder}/batch-{name}")
             for part, blob in batch.requests(count):
-                yield batch_of(schema, [[part], [batch.name], [blob]])
+                yield batch_of(schema, [[part], [name], [blob]])
 
-    asked = rows.mapInArrow(asking, "part int, batch string, blob binary")
-    # equal batches ask the same and count each
-    parts = asked.repartition(count, "part").groupBy("part").agg(
-        F.collect_list(F.struct("batch", "blob")).alias("requests")
-    )
-    model = Model(store(parts, "word-parts"), count, seed).fit(burn_in + samples)
-    folder = fresh_path(spark, "answers")
+    def gathering(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gathered = None, Gathering()
+        for batch in batches:
+            for number, some in in_order([batch]):
+                if number != now:
+                    if now is not None:
+                        gathered.save(f"{folder}/part-{now}")
+                    now, gathered = number, Gathering()
+                for row in some:
+                    gathered.add(row["blob"])
+            yield batch
+        if now is not None:
+            gathered.save(f"{folder}/part-{now}")
+
+    asked = rows.mapInArrow(asking, kinds).repartition(count, "part").sortWithinPartitions("part", "batch")
+    requests = store(asked.mapInArrow(gathering, kinds), "word-requests")
+    model = Model(spark, folder, count, seed).fit(burn_in + samples)
 
     def writing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, logs, counts = None, [], []
+        now, opened = None, []
 
         def flush() -> None:
-            if now is not None:
-                head = np.array([sum(map(len, logs)), sum(map(len, counts))], dtype="<u4")
-                data = [head.tobytes(), *(x.tobytes() for x in logs), *(x.tobytes() for x in counts)]
-                write_file(f"{folder}/{now}", [zstandard.ZstdCompressor(level=1).compress(b"".join(data))])
+            logs, counts = (np.concatenate(x) for x in zip(*opened, strict=True))
+            write_file(f"{folder}/answer-{now}", [squeeze(logs, counts)])
 
-        for batch in batches:
-            for name, _, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if name != now:
+        names = []
+        for name, some in in_order(batches):
+            if name != now:
+                if opened:
                     flush()
-                    now, logs, counts, last = name, [], [], None
-                if blob == last:
-                    continue  # an equal batch asked as well
-                last = blob
-                log, number = answer_of(blob)
-                logs.append(log)
-                counts.append(number)
-        flush()
-        yield pa.RecordBatch.from_pylist([], schema=pa.schema([("n", pa.int64())]))
-
-    answers = model.answers(burn_in).dropDuplicates(["batch", "part"])
-    answers = answers.repartition(count, "batch").sortWithinPartitions("batch", "part")
-    answers.select("batch", "part", "blob").mapInArrow(writing, "n long").collect()
-    fixed = spark.sparkContext.broadcast((model.fixed.tokens, model.fixed.words))
-    kind = docs.schema[key].dataType.simpleString()
+                now, opened = name, []
+                names.append(name)
+            opened += [spread(r["blob"]) for r in some]
+        if opened:
+            flush()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["batch"])
+
+    answers = model.answers(requests, burn_in).repartition(count, "batch").sortWithinPartitions("batch", "part")
+    answered = store(answers.mapInArrow(writing, "batch string"), "answered").repartition(count, "batch")
+    tokens, words = model.fixed.tokens, model.fixed.words
+    names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def adding(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, words = fixed.value
-        for keys, held, batch in batches_of(batches):
-            system, place = file_system(f"{folder}/{batch.name}")
-            with system.open_input_stream(place, compression=None) as source:
-                logs, counts = answer_of(source.read())
-            if (len(logs), len(counts)) != (len(batch.pairs), len(batch.words)):
-                raise ValueError("the answers do not fit the batch")
-            starts = np.cumsum(batch.sizes) - batch.sizes
-            own = counts.astype(np.int64)
-            base = np.log10((own + 1) / (tokens + words + 1))
-            columns = [
-                pa.array(keys),
-                pa.array(held),
-                batch.sizes,
-                np.add.reduceat((own > 0).astype(np.int64)[batch.word_at], starts),
-                np.full(len(keys), tokens),
-                np.add.reduceat(base[batch.word_at], starts),
-                np.add.reduceat(logs.astype(np.float64)[batch.pair_at], starts),
-            ]
-            names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-            columns = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
-            if columns[0].type == pa.null():
-                columns[0] = columns[0].cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                found, pair_at, word_of = saved_batch(f"{folder}/batch-{name}")
+                logs, counts = spread(read_file(f"{folder}/answer-{name}"))
+                if len(logs) != len(word_of):
+                    raise ValueError("the answers do not fit the batch")
+                logs = logs.astype("<u4").view("<f4").astype(np.float64)
+                sizes = found.column(2).to_numpy()
+                starts = np.cumsum(sizes) - sizes
+                own = counts.astype(np.int64)
+                base = np.log10((own + 1) / (tokens + words + 1))
+                columns = [
+                    sizes,
+                    np.add.reduceat((own > 0).astype(np.int64)[word_of][pair_at], starts),
+                    np.full(len(sizes), tokens),
+                    np.add.reduceat(base[word_of][pair_at], starts),
+                    np.add.reduceat(logs[pair_at], starts),
+                ]
+                columns = [found.column(0), found.column(1), *map(pa.array, columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    kind = docs.schema[key].dataType.simpleString()
     kinds = f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long"
-    found = rows.mapInArrow(adding, f"{kinds}, base_score double, score double")
-    return found.withColumnRenamed("key", key)
-
-
-def answer_of(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n, m = np.frombuffer(data, "<u4", 2).tolist()
-    return np.frombuffer(data, "<f4", n, 8), np.frombuffer(data, "<u8", m, 8 + 4 * n)
+    return answered.mapInArrow(adding, f"{kinds}, base_score double, score double").withColumnRenamed("key", key)

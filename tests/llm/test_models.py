@@ -120,23 +120,122 @@ def test_stirling_numbers_and_exact_draws():
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(2)
     words = np.sort(rng.integers(3, 1 << 62, 30).astype(np.uint64))
-    size = 1 << pitman_yor.CONTEXT_BITS
+    contexts = np.array([5, 9, 77], dtype=np.uint64)
     word_of = np.repeat(np.arange(30), 2)
-    context = np.tile([5, 9], 30)
-    part = pitman_yor.Part(0, words, word_of, context, rng.integers(1, 80, 60))
-    per = np.bincount(context, weights=part.counts, minlength=size)
-    fixed = pitman_yor.Fixed(per, int(part.counts.sum()), 30, 0.7, 0.6)
-    totals = [pitman_yor.Totals(np.bincount(context, minlength=size).astype(float), 60.0, 30.0)]
-    pitman_yor.replay(part, fixed, totals, 1)
-    sums, customers, tables = part.sums()
-    now = pitman_yor.Totals(sums.astype(float), customers, tables)
-    for c in (5, 9, 77):
+    context = np.tile([0, 1], 30)
+    part = pitman_yor.Part(0, words, contexts, word_of, context, rng.integers(1, 80, 60))
+    part.customers = part.per_context(part.counts).astype(float)
+    fixed = pitman_yor.Fixed(int(part.counts.sum()), 30, 0.7, 0.6)
+    part.sweep(fixed, pitman_yor.Totals(part.per_context(part.tables).astype(float), 60.0, 30.0), 1, 1)
+    tables = part.per_context(part.tables).astype(float)
+    now = pitman_yor.Totals(tables, float(part.dishes.sum()), float(part.root_tables.sum()))
+    for c in contexts:
         request = (words, np.arange(30), np.full(30, c), None)
         unknown = (np.array([1 << 63], dtype=np.uint64), np.zeros(1, int), np.array([c]), None)
         total = part.predict(request, fixed, now).sum() + part.predict(unknown, fixed, now)[0]
         assert abs(total - 1) < 1e-9
 
 
+def test_squeezed_numbers_and_gathered_pairs(monkeypatch, tmp_path):
+    arrays = [np.array(x, dtype=np.uint64) for x in ([], [0, 0], [1, 255, 256, 1 << 63], [70_000] * 5)]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(arrays, pitman_yor.spread(pitman_yor.squeeze(*arrays)), strict=True))
+    monkeypatch.setattr(pitman_yor, "PENDING", 50)
+    rng, counts = random.Random(3), Counter()
+    gathered, asked = pitman_yor.Gathering(), set()
+    for number in range(30):
+        texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(9)) for _ in range(4)]
+        held = [rng.random() < 0.3 for _ in texts]
+        tokens = [pitman_yor.text_hashes(t.encode()) for t in texts]
+        batch = pitman_yor.Batch(list(range(4)), held, tokens)
+        (one,) = batch.requests(1)
+        gathered.add(one[1])
+        spread = lambda h: (h * int(pitman_yor.SPREAD) % (1 << 64)) >> (64 - pitman_yor.CONTEXT_BITS)
+        for t, out in zip(tokens, held, strict=True):
+            for before, word in zip([int(pitman_yor.BEGIN), *t[:-1].tolist()], t.tolist(), strict=True):
+                asked.add(spread(before))
+                counts[word, spread(before)] += not out
+    gathered.save(f"{tmp_path}/part-0")
+    part, _ = pitman_yor.Model(None, str(tmp_path), 1, 0).load(0)
+    assert part.contexts.tolist() == sorted(asked)
+    found = zip(part.words[part.word_of].tolist(), part.contexts[part.context].tolist(), part.counts.tolist(), strict=True)
+    assert {(w, c): n for w, c, n in found} == {k: n for k, n in counts.items() if n}
+
+
+def plain_seating(tokens, held, discount, root_discount, sweeps, burn_in, rng):
+    """Customers seated one at a time: take one away, seat it again; the mean probability of each pair."""
+    known = sorted({w for t, out in zip(tokens, held, strict=True) if not out for w in t})
+    base = 1 / (len(known) + 1)
+    tables, root = {}, {}  # customers at each table of a dish
+
+    def root_probability(w):
+        mine, everything = root.get(w, []), [n for v in root.values() for n in v]
+        new = (1 + root_discount * len(everything)) * base
+        return (sum(mine) - root_discount * len(mine) + new) / (1 + sum(everything))
+
+    def probability(c, w):
+        mine = tables.get((c, w), [])
+        everything = [n for (x, _), v in tables.items() if x == c for n in v]
+        own = sum(mine) - discount * len(mine)
+        return (own + (1 + discount * len(everything)) * root_probability(w)) / (1 + sum(everything))
+
+    def sit(seats, new, d):
+        weights = [n - d for n in seats] + [new]
+        at = rng.choices(range(len(weights)), weights)[0]
+        if at == len(seats):
+            seats.append(0)
+        seats[at] += 1
+        return seats[at] == 1
+
+    def leave(seats):
+        at = rng.choices(range(len(seats)), seats)[0]
+        seats[at] -= 1
+        if not seats[at]:
+            del seats[at]
+            return True
+        return False
+
+    def seat(c, w):
+        total = sum(len(v) for (x, _), v in tables.items() if x == c)
+        if sit(tables.setdefault((c, w), []), (1 + discount * total) * root_probability(w), discount):
+            total = sum(len(v) for v in root.values())
+            sit(root.setdefault(w, []), (1 + root_discount * total) * base, root_discount)
+
+    pairs = [p for t, out in zip(tokens, held, strict=True) if not out for p in zip([None, *t[:-1]], t, strict=True)]
+    for p in pairs:
+        seat(*p)
+    asked = {p for t in tokens for p in zip([None, *t[:-1]], t, strict=True)}
+    mean = dict.fromkeys(asked, 0.0)
+    for turn in range(sweeps):
+        for c, w in pairs:
+            if leave(tables[c, w]):
+                leave(root[w])
+            seat(c, w)
+        if turn >= burn_in:
+            for p in asked:
+                mean[p] += probability(*p) / (sweeps - burn_in)
+    return mean
+
+
+def test_scores_are_near_those_of_a_plain_seating(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(12)], k=7)) for _ in range(24)] + ["w0 new w1"]
+    held = [i % 6 == 5 or i == 24 for i in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = (F.col("doc_id") % 6 == 5) | (F.col("doc_id") == 24)
+    found = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs, out, burn_in=5, samples=10).collect()}
+    tokens = [[*t.split(), ""] for t in texts]
+    trained = [t for t, o in zip(tokens, held, strict=True) if not o]
+    pairs = Counter(p for t in trained for p in zip([None, *t[:-1]], t, strict=True))
+    kinds = Counter(pairs.values())
+    dishes = Counter(Counter(w for _, w in pairs).values())
+    discounts = pitman_yor.discount_of(kinds[1], kinds[2]), pitman_yor.discount_of(dishes[1], dishes[2])
+    mean = plain_seating(tokens, held, *discounts, 60, 20, rng)
+    for i, t in enumerate(tokens):
+        exact = sum(math.log10(mean[p]) for p in zip([None, *t[:-1]], t, strict=True))
+        assert abs(found[i] - exact) < 0.05 * len(t), (i, found[i], exact)
+
+
 def test_scores_equal_the_contract(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["the", "Of", "é", f"w{rng.randrange(40)}"]) for _ in range(60)) for _ in range(60)]
