@@ -64,8 +64,7 @@ def op4_simhash(spark, sf_dir):
 def op5_warc(spark, sf_dir):
     """Pages written as Zstandard WARC archives and read back."""
     folder = fresh_path(spark, "archives")
-    warc.write(table(spark, sf_dir, "pages"), folder)
-    found = warc.read(spark, folder)
+    found = warc.read(warc.write(table(spark, sf_dir, "pages"), folder))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

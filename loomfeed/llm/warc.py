@@ -20,10 +20,10 @@ from datetime import UTC, datetime
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomfeed.llm.common import batch_of, file_system, raw_texts, slices, store, write_file
+from loomfeed.llm.common import batch_of, file_system, partitions_for, raw_texts, slices, store, write_file
 
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
@@ -205,6 +205,9 @@ def write(
 ) -> DataFrame:
     """Write one record per row; the manifest ``path, records, bytes``.
 
+    The manifest is a stored table and names the archives of the attempts that were
+    committed; archives of other attempts of a task stay unread beside them.
+
     Null payloads are empty ones. Rows with a null key have no identity to refer
     to; they are responses with page id -1. Rows that repeat a key are written
     each. An empty table gives no archive.
@@ -213,11 +216,11 @@ def write(
     joined = rows.join(revisits(rows, "key", "text", least), "key", "left").select("key", "refers_to", "url", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, size = TaskContext.get().partitionId(), 0, 0
+        part, attempt, number, size = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0, 0
         records: list[bytes] = []
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/pages-{part:07d}-{number:05d}.warc.zst"
+            path = f"{folder}/pages-{part:07d}-{number:05d}-{attempt}.warc.zst"
             written = write_file(path, archive(records))
             return pa.RecordBatch.from_pylist([{"path": path, "records": len(records), "bytes": written}])
 
@@ -236,10 +239,14 @@ def write(
     return store(joined.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """All records below ``folder``: ``page_id, payload_bytes, payload_digest, record_type,
-    refers_to, url, payload`` (null for a revisit). A damaged archive is an error."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path")
+def read(manifest: DataFrame) -> DataFrame:
+    """All records of the archives that a manifest names in ``path``: ``page_id, payload_bytes,
+    payload_digest, record_type, refers_to, url, payload`` (null for a revisit).
+
+    A damaged or missing archive, or one whose number of records is not the manifest's, is an
+    error. No archives give no rows.
+    """
+    files = manifest.select("path", "records").repartition(partitions_for(manifest.sparkSession))
     schema = pa.schema(
         [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
         + [("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())]
@@ -265,14 +272,17 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                rows, size = [], 0
+            for path, records in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows, size, found = [], 0, 0
                 for row in rows_of(path):
+                    found += 1
                     rows.append(row)
                     size += row[1] + 100
                     if size > 4 << 20:
                         yield batch_of(schema, [list(c) for c in zip(*rows, strict=True)])
                         rows, size = [], 0
+                if found != records:
+                    raise Damaged(f"{path}: {found} records, {records} written")
                 if rows:
                     yield batch_of(schema, [list(c) for c in zip(*rows, strict=True)])
 

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomfeed.llm import cutting_stock, packing, rans, token_files, warc
@@ -176,9 +177,16 @@ def test_archives_round_trip(spark):
     bodies = ["<p>a</p>", "<p>a</p>", None, "", "é" * 50_000, "<p>a</p>", "b"]
     rows = [(i, f"http://x/{i}\r\nbad", b, "k") for i, b in enumerate(bodies)] + [(None, None, "n", "k")] * 2
     folder = fresh_path(spark, "warc")
-    manifest = warc.write(spark.createDataFrame(rows, PAGES), folder).collect()
-    assert sum(r["records"] for r in manifest) == len(rows)
-    found = warc.read(spark, folder).collect()
+    manifest = warc.write(spark.createDataFrame(rows, PAGES), folder)
+    assert sum(r["records"] for r in manifest.collect()) == len(rows)
+    # an attempt that was not committed left an archive beside the others
+    stray = b"".join(warc.archive([warc.record(0, "http://x", b"again", None)]))
+    with open(f"{folder}/pages-0000000-00000-stray.warc.zst", "wb") as out:
+        out.write(stray)
+    found = warc.read(manifest).collect()
+    assert len(found) == len(rows)
+    with pytest.raises(Exception, match="records, .* written"):
+        warc.read(manifest.withColumn("records", F.col("records") + 1)).collect()
     top = {}
     for i, b in enumerate(bodies):
         top[b or ""] = i
@@ -191,7 +199,8 @@ def test_archives_round_trip(spark):
         assert (r["payload_bytes"], r["payload_digest"]) == (len(data), digest)
         assert (r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"])) == (*kind[:2], kind[2] and data)
     assert [r["record_type"] for r in found if r["page_id"] is None] == ["response"] * 2
-    assert warc.write(spark.createDataFrame([], PAGES), fresh_path(spark, "warc")).count() == 0
+    nothing = warc.write(spark.createDataFrame([], PAGES), fresh_path(spark, "warc"))
+    assert nothing.count() == 0 and warc.read(nothing).count() == 0
 
 
 def test_damaged_archives_are_refused():
