@@ -57,9 +57,8 @@ BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0
 #: Customers up to which the tables are drawn exactly; beyond, seats are drawn in growing blocks.
 EXACT = 64
-#: Stand-ins for words: the end of a text, and what is before its first word.
-END, BEGIN = np.uint64(1), np.uint64(2)
-SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Stand-ins for words: the end of a text, and what is before its first word (the last context).
+END, BEGIN = np.uint64(1), np.uint64((1 << 64) - 1)
 
 
 def text_hashes(text: bytes) -> np.ndarray:
@@ -102,6 +101,11 @@ def read_file(path: str) -> bytes:
         return source.read()
 
 
+def ascending(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of sorted values, and the steps from each to the next; ``cumsum`` undoes it."""
+    return values[:1], np.diff(values, prepend=values[:1])
+
+
 def steps_of(word_of: np.ndarray) -> np.ndarray:
     return np.diff(word_of, prepend=0)  # 0 or 1: each word has a pair
 
@@ -119,9 +123,8 @@ class Batch:
         before[np.cumsum(self.sizes) - self.sizes] = n
         pairs, self.pair_at = np.unique(word_at * (n + 1) + before, return_inverse=True)
         self.word_of = pairs // (n + 1)
-        with np.errstate(over="ignore"):
-            contexts = (np.append(self.words, BEGIN) * SPREAD) >> np.uint64(64 - CONTEXT_BITS)
-        self.context = contexts[pairs % (n + 1)]
+        self.context = pairs % (n + 1)  # places among these
+        self.contexts = np.append(self.words, BEGIN) >> np.uint64(64 - CONTEXT_BITS)
         train = np.repeat(~self.held, self.sizes)
         self.counts = np.bincount(self.pair_at[train], minlength=len(pairs))
 
@@ -132,7 +135,9 @@ class Batch:
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(part)], strict=True):
             x, y = np.searchsorted(self.word_of, (a, b))
             steps = steps_of(self.word_of[x:y] - a)
-            yield int(part[a]), squeeze(self.words[a:b], steps, self.context[x:y], self.counts[x:y])
+            met, context = np.unique(self.context[x:y], return_inverse=True)
+            words, contexts = ascending(self.words[a:b]), ascending(self.contexts[met])
+            yield int(part[a]), squeeze(*words, *contexts, steps, context, self.counts[x:y])
 
     def rows(self) -> pa.RecordBatch:
         keys = pa.array(self.keys)
@@ -161,9 +166,11 @@ def saved_batch(path: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
     return rows, pair_at.astype(np.int64), np.cumsum(steps.astype(np.int64))
 
 
-def request_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    words, steps, context, counts = spread(data)
-    return words, np.cumsum(steps.astype(np.int64)), context, counts.astype(np.int64)
+def request_of(data: bytes) -> tuple[np.ndarray, ...]:
+    """Words, contexts, and for each pair its places among both and its training count."""
+    word, word_steps, context, context_steps, steps, places, counts = spread(data)
+    words, contexts = word + np.cumsum(word_steps), context + np.cumsum(context_steps)
+    return words, contexts, np.cumsum(steps.astype(np.int64)), places.astype(np.int64), counts.astype(np.int64)
 
 
 def batches_of(batches: Iterable[pa.RecordBatch]) -> Iterator[Batch]:
@@ -285,8 +292,8 @@ class Part:
 
     def predict(self, request, fixed: Fixed, totals: Totals) -> np.ndarray:
         """Probability of each pair of a request."""
-        words, word_of, asked, _ = request
-        context = np.searchsorted(self.contexts, asked)
+        words, asked, word_of, places, _ = request
+        context = np.searchsorted(self.contexts, asked)[places]
         here = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
         known = self.words[here] == words if len(self.words) else np.zeros(len(words), bool)
         unseen = (STRENGTH + fixed.root_discount * totals.root_tables) * fixed.base
@@ -319,9 +326,9 @@ class Gathering:
         self.size = 0
 
     def add(self, data: bytes) -> None:
-        words, word_of, context, counts = request_of(data)
+        words, contexts, word_of, context, counts = request_of(data)
         keep = counts > 0
-        self.waiting.append((words[word_of[keep]], context[keep], counts[keep], np.unique(context)))
+        self.waiting.append((words[word_of[keep]], contexts[context[keep]], counts[keep], contexts))
         self.size += len(context)
         if self.size >= max(PENDING, len(self.pairs[2])):
             self.settle()

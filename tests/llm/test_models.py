@@ -130,8 +130,8 @@ def test_probabilities_sum_to_one():
     tables = part.per_context(part.tables).astype(float)
     now = pitman_yor.Totals(tables, float(part.dishes.sum()), float(part.root_tables.sum()))
     for c in contexts:
-        request = (words, np.arange(30), np.full(30, c), None)
-        unknown = (np.array([1 << 63], dtype=np.uint64), np.zeros(1, int), np.array([c]), None)
+        request = (words, np.array([c]), np.arange(30), np.zeros(30, int), None)
+        unknown = (np.array([1 << 63], dtype=np.uint64), np.array([c]), np.zeros(1, int), np.zeros(1, int), None)
         total = part.predict(request, fixed, now).sum() + part.predict(unknown, fixed, now)[0]
         assert abs(total - 1) < 1e-9
 
@@ -149,11 +149,11 @@ def test_squeezed_numbers_and_gathered_pairs(monkeypatch, tmp_path):
         batch = pitman_yor.Batch(list(range(4)), held, tokens)
         (one,) = batch.requests(1)
         gathered.add(one[1])
-        spread = lambda h: (h * int(pitman_yor.SPREAD) % (1 << 64)) >> (64 - pitman_yor.CONTEXT_BITS)
         for t, out in zip(tokens, held, strict=True):
             for before, word in zip([int(pitman_yor.BEGIN), *t[:-1].tolist()], t.tolist(), strict=True):
-                asked.add(spread(before))
-                counts[word, spread(before)] += not out
+                context = before >> (64 - pitman_yor.CONTEXT_BITS)
+                asked.add(context)
+                counts[word, context] += not out
     gathered.save(f"{tmp_path}/part-0")
     part, _ = pitman_yor.Model(None, str(tmp_path), 1, 0).load(0)
     assert part.contexts.tolist() == sorted(asked)
