@@ -44,7 +44,15 @@ from loomfeed.operators.vocab import BOS_ID, EOS_ID, PAD_ID
 from loomfeed.plans.examples import examples_from_conversations as examples
 from loomfeed.plans.prepare import prepare_v1, prepare_v2, render_v1, render_v2
 from loomfeed.session import checkpoint, fresh_path
-from loomfeed.sources import NA_WORDS, ingest_examples, normalize_missing, read_examples, write_examples
+from loomfeed.sources import (
+    NA_WORDS,
+    ingest_examples,
+    normalize_missing,
+    read_examples,
+    read_shards,
+    write_examples,
+    write_shards,
+)
 from loomfeed.streaming import BatchReports, stream_examples, write_available, write_files_available
 
 SEED = 42
@@ -477,6 +485,17 @@ def collate_causal_lm(spark, sf_dir):
     )
 
 
+def tensor_shards(spark, sf_dir):
+    """Epochs in feed order as shards for a trainer, with the number of each row in them."""
+    path = fresh_path(spark, "shards")
+    ready = finish_ids(example_ids(spark, sf_dir), LENGTH, PAD_ID)
+    feed = epochs(ready, EPOCHS, SEED).orderBy("epoch", "position")
+    places = ["epoch", "position", "copy_id"]  # texts have no width and stay behind
+    write_shards(feed.select(*places, "input_ids", "attention_mask", "labels"), path)
+    rows = read_shards(spark, path, row="place")
+    return rows.select(*places, "place", as_text("input_ids"), as_text("attention_mask"), as_text("labels"))
+
+
 # whole preparations
 
 
@@ -578,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "train_test_split_equal_rows": train_test_split_equal_rows,
     "assign_batches": assign_batches_of_epochs,
     "collate_causal_lm": collate_causal_lm,
+    "tensor_shards": tensor_shards,
     "prepare_dataset_v1": prepare_dataset_v1,
     "prepare_dataset_v2": prepare_dataset_v2,
     "prepare_dataset_v2_literal_nan": prepare_dataset_v2_literal_nan,

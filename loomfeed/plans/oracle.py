@@ -574,6 +574,16 @@ ORACLE: dict[str, str] = {
     "prepare_dataset_v1": query(
         IDS_V1, f"select ex_id, copy_id, {finished(q.LENGTH, labels=False)} from encoded"
     ),
+    "tensor_shards": query(
+        {
+            **IDS,
+            "places": places("copies"),
+            "placed": "select e.*, epoch, position from places p"
+            " join encoded e on p.ex_id = e.ex_id and p.copy_id = e.copy_id",
+        },
+        f"""select epoch, position, copy_id, row_number() over (order by epoch, position) - 1 as place,
+                   {finished(q.LENGTH)} from placed""",
+    ),
     "prepare_dataset_v2": query(IDS, f"select ex_id, copy_id, {finished(q.LENGTH)} from encoded"),
     "prepare_dataset_v2_literal_nan": query(
         LITERAL_NAN, f"select ex_id, copy_id, {finished(q.LENGTH)} from encoded"
