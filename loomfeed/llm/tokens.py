@@ -1,13 +1,13 @@
 """Token ids of whole texts by a serialized tokenizer, with a memory of pieces.
 
 Byte-level BPE never joins text across the start of a blank-led word, so a text
-is cut before single blanks and each piece is encoded by the tokenizer once per
-worker. Pieces around runs of blanks are cut only where the run starts, which is
-where the tokenizer's own word rule cuts as well. Letters, with or without a blank
-before them, are one word by that rule, so the tokenizer's model gets them
-directly; a mark behind them is a word of its own, and so is a single line feed
-between visible characters. Texts that hold a token added to the vocabulary, which
-the tokenizer finds before it looks for words, are encoded whole.
+is cut before single blanks and the ids of each piece are remembered. A piece not
+seen before is cut into the words of the tokenizer's own rule, each of which the
+tokenizer's model encodes once. Pieces around runs of blanks are cut only where the
+run starts, which is where that rule cuts as well. Pieces with characters whose
+class could differ between the rule's tables and those of this interpreter go to the
+tokenizer as they are. So do whole texts if the tokenizer has another rule, and texts
+that hold a token added to the vocabulary, which it finds before it looks for words.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -23,18 +24,33 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Bytes of the pieces and ids in one generation of a worker's memory, about. A full
-#: one becomes the older generation, and the older one goes. Only speed depends on it.
-MEMORY_BYTES = 32 << 20
+#: Bytes of the pieces and ids in a worker's memory, about. A full one is emptied, as
+#: frequent pieces are soon back. Only speed depends on it.
+MEMORY_BYTES = 64 << 20
 #: What a remembered piece takes besides its characters and ids.
 ENTRY_BYTES = 190
 #: Longer pieces are encoded each time.
 LONGEST_PIECE = 64
-#: Pieces encoded as one string.
-TOGETHER = 100
 BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
-#: Marks that often end a word; each is a word of its own behind letters.
-MARKS = frozenset(".,:;!?")
+#: Characters whose class has long been settled: Latin ones and marks of punctuation.
+SETTLED = "\t\n\r -~\xa1-\u024f\u2010-\u2027\u2030-\u205e"
+
+
+def word_rule() -> re.Pattern:
+    """The words of byte-level BPE in texts of settled characters: endings behind an
+    apostrophe; letters, numbers or marks with or without a blank before them; blanks."""
+    kinds: dict[str, list[str]] = {}
+    for c in map(chr, range(0x2060)):
+        if re.fullmatch(f"[{SETTLED}]", c) and not c.isspace():
+            kinds.setdefault(unicodedata.category(c)[0], []).append(c)
+    letters, numbers = "".join(kinds["L"]), "".join(kinds["N"])
+    return re.compile(
+        rf"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+"
+    )
+
+
+WORD = word_rule()
+ONLY_SETTLED = re.compile(f"[{SETTLED}]*")
 
 
 def byte_letters() -> list[str]:
@@ -45,6 +61,17 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)]
 
 
+class Pieces(dict):
+    """Ids by the text behind a piece's leading blank; those not held are asked for."""
+
+    def __init__(self, ask):
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, body: str) -> bytes:
+        return self.ask(body)
+
+
 class Encoder:
     """``encode(texts)``: the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -52,15 +79,8 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.tokenize = self.model.tokenize
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.held = 0
-        vocabulary = self.tokenizer.get_vocab()
-        #: a byte-level token has one character for each byte
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-        for token, i in vocabulary.items():
-            self.bytes_of[i] = len(token)
         self.letters = byte_letters()
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
@@ -69,120 +89,86 @@ class Encoder:
         plain = plain and words.get("use_regex", True) and not words.get("add_prefix_space")
         #: whether the model's own words are those of this module
         self.direct = bool(plain and rules["model"].get("type") == "BPE" and not rules["model"].get("dropout"))
+        self.forget()
 
-    def _word(self, piece: str) -> bytes:
-        """Ids of letters, with or without a blank before them, by the model alone."""
-        if piece.isascii():
-            found = self.model.tokenize("\u0120" + piece[1:] if piece[0] == " " else piece)
+    def forget(self) -> None:
+        self.memory = Pieces(self._blank_led)
+        #: ids of words without a blank before them
+        self.words: dict[str, bytes] = {}
+        self.held = 0
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word by the model alone."""
+        if word.isascii() and word.isprintable():
+            found = self.tokenize(word.replace(" ", "\u0120"))
         else:
             letters = self.letters
-            found = self.model.tokenize("".join([letters[b] for b in piece.encode()]))
+            found = self.tokenize("".join([letters[b] for b in word.encode()]))
         return array("I", [t.id for t in found]).tobytes()
 
-    def _ids(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of each of the distinct pieces that are not remembered."""
-        out: dict[str, bytes] = {}
-        rest = []
-        memory, word = self.memory, self._word
-        for piece in pieces:
-            body = piece[1:] if piece[0] == " " else piece
-            if not self.direct:
-                rest.append(piece)
-            elif body.isalpha():
-                out[piece] = word(piece)
-            elif body[-1:] in MARKS and body[:-1].isalpha():
-                stem = piece[:-1]
-                ids = memory.get(stem) or out.get(stem)
-                if ids is None:
-                    ids = out[stem] = word(stem)
-                out[piece] = ids + self._mark(piece[-1])
+    def _bare(self, word: str) -> bytes:
+        """Ids of one word without a blank before it."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self._word(word)
+            if len(word) <= LONGEST_PIECE:
+                self.words[word] = ids
+                self.held += len(word) + len(ids) + ENTRY_BYTES
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that is not letters alone."""
+        if not ONLY_SETTLED.fullmatch(piece):
+            return self._plain(piece)
+        words = WORD.findall(piece)
+        if len(words) == 1:
+            return self._word(piece)
+        memory, bare = self.memory, self._bare
+        return b"".join([memory[w[1:]] if w[0] == " " else bare(w) for w in words])
+
+    def _blank_led(self, body: str) -> bytes:
+        """Ids of a blank and ``body``, to be remembered. What holds a new piece is
+        likely to be as rare, and is not remembered itself."""
+        if body.isalpha():
+            if body.isascii():
+                ids = array("I", [t.id for t in self.tokenize("\u0120" + body)]).tobytes()
             else:
-                rest.append(piece)
-        out.update(zip(rest, self._together(rest), strict=True))
-        return out
-
-    @lru_cache(maxsize=16)  # noqa: B019 - an encoder lives as long as its worker
-    def _mark(self, mark: str) -> bytes:
-        return array("I", self.tokenizer.encode(mark, add_special_tokens=False).ids).tobytes()
-
-    def _together(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; pieces that a blank leads are encoded together and cut by their bytes."""
-        out: list[bytes] = [b""] * len(pieces)
-        joined = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2].strip()]
-        groups = [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
-        lone = sorted(set(range(len(pieces))) - set(joined))
-        groups += [[i] for i in lone]
-        found = self.tokenizer.encode_batch_fast(
-            ["".join([pieces[i] for i in g]) for g in groups], add_special_tokens=False
-        )
-        for group, encoding in zip(groups, found, strict=True):
-            ids = np.array(encoding.ids, dtype="<u4")
-            ends = np.cumsum(self.bytes_of[ids])
-            stops = np.cumsum([len(pieces[i].encode()) for i in group])
-            at = np.searchsorted(ends, stops)
-            if len(ids) and not np.array_equal(ends[np.minimum(at, len(ends) - 1)], stops):
-                raise ValueError("the tokenizer joins pieces across blanks: byte-level BPE is needed")
-            data, start = ids.tobytes(), 0
-            for i, stop in zip(group, (4 * (at + 1)).tolist(), strict=True):
-                out[i] = data[start:stop]
-                start = stop
-        return out
+                ids = self._word(" " + body)
+        else:
+            held = self.held
+            ids = self._piece(" " + body)
+            if self.held != held:
+                return ids
+        if len(body) <= LONGEST_PIECE:
+            self.memory[body] = ids
+            self.held += len(body) + len(ids) + ENTRY_BYTES
+        return ids
+
+    def _text(self, text: str) -> bytes:
+        if not self.direct or any(a in text for a in self.added):
+            return self._plain(text)
+        if self.held > MEMORY_BYTES:
+            self.forget()
+        first, bodies = pieces_of(text)
+        if first:
+            first = self.memory[first[1:]] if first[0] == " " else self._piece(first)
+        return b"".join([first or b"", *map(self.memory.__getitem__, bodies)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.held > MEMORY_BYTES:
-            self.older, self.memory, self.held = self.memory, {}, 0
-        memory, older = self.memory, self.older
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        cut = [[] if i in whole else pieces_of(t) for i, t in enumerate(texts)]
-        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in memory))
-        lines = {p: parts for p in new if "\n" in p and (parts := lines_of(p))} if self.direct else {}
-        parts = [q for p in new for q in lines.get(p, (p,)) if q not in memory]
-        found, unknown = {}, []
-        for q in dict.fromkeys(parts):
-            if (ids := older.get(q)) is None:
-                unknown.append(q)
-            else:
-                found[q] = ids
-        memory.update(found)
-        found |= self._ids(unknown)
-        memory.update(found)
-        for p, parts in lines.items():
-            memory[p] = b"".join([memory[q] for q in parts])
-        out = [b"".join([memory[p] for p in pieces]) for pieces in cut]
-        for i in whole:
-            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
-            out[i] = np.array(ids, dtype="<u4").tobytes()
-        for p in lines:  # few of them come again
-            del memory[p]
-        for p, ids in found.items():
-            if len(p) > LONGEST_PIECE:
-                del memory[p]
-            else:
-                self.held += len(p) + len(ids) + ENTRY_BYTES
-        return out
-
-
-def lines_of(piece: str) -> list[str] | None:
-    """A piece cut around its line feeds, where each has visible characters on both
-    sides and so is a word of its own; None where one has not."""
-    lines = piece.split("\n")
-    blank = piece[0] == " "
-    for i, line in enumerate(lines):
-        body = line[1:] if blank and not i else line
-        if not body or body[0].isspace() or body[-1].isspace():
-            return None
-    out = lines[:1]
-    for line in lines[1:]:
-        out += ("\n", line)
-    return out
-
-
-def pieces_of(text: str) -> list[str]:
-    """The text cut before blanks that follow a visible character."""
+        return [self._text(t) for t in texts]
+
+
+def pieces_of(text: str) -> tuple[str, list[str]]:
+    """The text cut before blanks that follow a visible character: the first piece, and
+    the others without the blank that leads them."""
     if "  " in text:
-        return BEFORE_BLANK.split(text)
-    pieces = text.split(" ")
-    return pieces[:1] + [" " + p for p in pieces[1:]] if pieces[0] else [" " + p for p in pieces[1:]]
+        first, *pieces = BEFORE_BLANK.split(text)
+        return first, [p[1:] for p in pieces]
+    first, *bodies = text.split(" ")
+    return first, bodies
 
 
 @contextmanager
@@ -192,7 +178,7 @@ def borrowed(path: str) -> Iterator[Encoder]:
     try:
         yield one
     finally:
-        one.memory, one.older, one.held = {}, {}, 0
+        one.forget()
 
 
 @lru_cache(maxsize=2)

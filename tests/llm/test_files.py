@@ -54,7 +54,7 @@ def test_remembered_pieces_are_bounded(tokenizer, monkeypatch):
     for at in range(0, 4000, 100):
         texts = [f"w{i} x{i}.\ny{i}" for i in range(at, at + 100)]
         assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
-        assert len(encoder.memory) + len(encoder.older) < 1000
+        assert len(encoder.memory) + len(encoder.words) < 1000
 
 
 def test_rans_round_trips_from_any_checkpoint():
