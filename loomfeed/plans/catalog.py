@@ -49,8 +49,10 @@ from loomfeed.sources import (
     ingest_examples,
     normalize_missing,
     read_examples,
+    read_planned,
     read_shards,
     write_examples,
+    write_planned,
     write_shards,
 )
 from loomfeed.streaming import BatchReports, stream_examples, write_available, write_files_available
@@ -190,6 +192,13 @@ def write_examples_parquet(spark, sf_dir):
     return spark.read.parquet(path).select(*KEY, *TEXTS, "split")
 
 
+def write_planned_parquet(spark, sf_dir):
+    """Files of planned size per split, read back by their manifest."""
+    path = fresh_path(spark, "planned")
+    write_planned(split(copies(spark, sf_dir), TEST_SIZE, SEED), path)
+    return read_planned(spark, path).select(*KEY, *TEXTS, "split")
+
+
 def row_keys_by_content(spark, sf_dir):
     return row_keys(documents(spark, sf_dir).select("text")).select("ex_id", "text")
 
@@ -552,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "stream_instruction_csv": stream_instruction_csv,
     "stream_csv_files": stream_csv_files,
     "write_examples": write_examples_parquet,
+    "write_planned": write_planned_parquet,
     "row_keys": row_keys_by_content,
     "skip_absent_column": skip_absent_column,
     "cast_text": cast_text,

@@ -424,10 +424,13 @@ ORACLE: dict[str, str] = {
         select doc_id, case when list_contains({lits(NA_WORDS)}, cell) then null else cell end as cell
         from cells""",
     "stream_instruction_csv": query(STREAMED, "select ex_id, copy_id, prompt from prompts"),
-    "write_examples": query(
-        {**COPIES, "marked": split_cte()},
-        "select c.ex_id, c.copy_id, instruction, input, output, split"
-        " from copies c join marked m on c.ex_id = m.ex_id",
+    **dict.fromkeys(
+        ["write_examples", "write_planned"],
+        query(
+            {**COPIES, "marked": split_cte()},
+            "select c.ex_id, c.copy_id, instruction, input, output, split"
+            " from copies c join marked m on c.ex_id = m.ex_id",
+        ),
     ),
     "row_keys": f"""
         select concat_ws('-', {content_hash(['text'])},
