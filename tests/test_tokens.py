@@ -8,6 +8,7 @@ from loomfeed.functions import arrays
 from loomfeed.operators.augment import replicate
 from loomfeed.operators.tokens import finish_ids, tokenize_batches
 from loomfeed.operators.vocab import SPECIALS, UNK_ID, _frequent, build_vocab, encode_words, word_level_json
+from loomfeed.plans.catalog import as_padded_text, as_text
 from loomfeed.session import checkpoint
 from tests.conftest import node_names, plan_nodes
 
@@ -194,3 +195,16 @@ def test_words_limit_equals_slice_of_all(spark):
         got = df.select("t", arrays.words(F.col("t"), n).alias("cut"), arrays.words(F.col("t")).alias("all"))
         for r in got.collect():
             assert r["all"] == r.t.split() and r.cut == r.t.split()[:n]
+
+
+def test_text_of_padded_arrays_equals_the_plain_join(spark):
+    rows = [
+        ("right", 2, [5, 6, 0, 0, 0]), ("right", 0, [0, 0, 0]), ("right", 3, [7, 0, 7]), ("right", 0, []),
+        ("right", 1, [4, 0, 9, 0]), ("right", 1, [4, 0, None, 0]), ("right", 1, [4, 0, None]), ("right", 3, [0, 0, 1, 0, 0]),
+        ("right", 1, [2, 2, 2]), ("right", None, None), ("left", 2, [-100, -100, 5, 6]), ("left", 0, [-100]),
+        ("left", 1, [0, 3, 0, 8]), ("left", 3, [1, 2, 3]), ("left", 0, []), ("left", 1, [None, 0, 1]), ("left", None, None),
+    ]
+    for side in ("right", "left"):
+        some = spark.createDataFrame([r[1:] for r in rows if r[0] == side], "n int, ids array<int>")
+        got = some.select(as_padded_text("ids", F.col("n"), side).alias("a"), as_text("ids").alias("b")).collect()
+        assert [r.a for r in got] == [r.b for r in got]
