@@ -54,17 +54,22 @@ def encode_pieces(
     if size + rows * _ENTRY_OVERHEAD > max_inline_bytes:
         raise ValueError(f"the vocabulary has more than {max_inline_bytes} bytes: use a smaller one or raise the limit")
     buckets = max(1, rows // _BUCKET_WORDS)
-    tried = F.array(*[F.lit(n) for n in sorted(lengths, reverse=True) or [1]])
+    # lengths to try by the characters left: a length that can't fit costs as much as one that does
+    most = max(lengths, default=0)
+    by_room = F.array(*[
+        F.array(*[F.lit(n) for n in sorted(lengths, reverse=True) if n <= room]).cast("array<int>")
+        for room in range(most + 1)
+    ])
 
     def piece_at(word: Column, at: Column) -> Column:
         """Id and length of the longest piece at a place, as one number."""
 
         def try_length(found: Column, n: Column) -> Column:
             part = F.substring(word, at, n)
-            place = F.get(F.col("_table"), _bucket(part, buckets))
-            fits = F.when(F.length(part) == n, F.try_element_at(place, part))
+            fits = F.try_element_at(F.get(F.col("_table"), _bucket(part, buckets)), part)
             return F.coalesce(found, fits.cast("long") * _LENGTHS + n)
 
+        tried = F.get(by_room, F.least(F.length(word) - at + 1, F.lit(most)))
         return F.coalesce(F.aggregate(tried, F.lit(None).cast("long"), try_length), F.lit(unk_id * _LENGTHS + 1))
 
     def cut(word: Column) -> Column:
@@ -86,10 +91,22 @@ def encode_pieces(
 
     # what lies behind can't be among the first ids
     listed = F.transform(words(as_column(text), max_length), lambda w: F.substring(w, 1, max_length * longest))
-    ids = F.slice(F.flatten(F.transform("_words", cut)), 1, max_length)
+
+    def ids_of(word: Column) -> Column:
+        """A word that is a piece as a whole, as most are, needs no loop over its places."""
+        bound = F.transform(
+            F.array(F.try_element_at(F.get(F.col("_whole"), _bucket(word, buckets)), word)),
+            lambda known: F.when(known.isNull(), cut(word)).otherwise(F.array(known)),
+        )
+        return F.get(bound, F.lit(0))
+
+    ids = F.slice(F.flatten(F.transform("_words", ids_of)), 1, max_length)
+    # the table once for each place it is used in, or it would stay a column
+    table = _lookup_table(pieces, buckets)
     return (
         df.withColumn("_words", listed)
-        .withColumn("_table", _lookup_table(pieces, buckets).scalar())
+        .withColumn("_table", table.scalar())
+        .withColumn("_whole", table.scalar())
         .withColumn(out, ids)
-        .drop("_words", "_table")
+        .drop("_words", "_table", "_whole")
     )

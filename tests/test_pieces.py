@@ -12,7 +12,7 @@ from loomfeed.operators import (
     vocab_of_counts,
 )
 from loomfeed.session import checkpoint
-from tests.conftest import node_names
+from tests.conftest import node_names, plan_nodes
 
 
 def greedy(text, vocab, longest, length):
@@ -42,6 +42,17 @@ def test_pieces_equal_a_plain_loop(spark, length):
             assert got[i] == greedy(text, vocab, longest, length)
 
 
+def test_whole_words_are_looked_up_before_any_loop(spark):
+    docs = spark.createDataFrame([("ab abc a zab 😀b",)], "text string")
+    table = checkpoint(spark.createDataFrame([("ab", 4), ("abc", 5), ("b", 6)], "tok string, id int"))
+    encoded = encode_pieces(docs, table, 20, "text")
+    assert encoded.first()["ids"] == [4, 5, 3, 3, 4, 3, 6]
+    assert "_whole" in encoded._jdf.queryExecution().analyzed().toString()
+    assert not any("_whole" in output or "_table" in output for _, output in plan_nodes(encoded))
+    none = checkpoint(spark.createDataFrame([], "tok string, id int"))
+    assert encode_pieces(docs, none, 20, "text").first()["ids"] == [3] * 11
+
+
 def test_characters_make_every_word_known(spark):
     docs = spark.createDataFrame([("the cat é",), ("then 猫\tsat",), (None,), ("",)], "text string")
     vocab = checkpoint(build_vocab(docs, "text", 2))
