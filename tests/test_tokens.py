@@ -208,3 +208,16 @@ def test_text_of_padded_arrays_equals_the_plain_join(spark):
         some = spark.createDataFrame([r[1:] for r in rows if r[0] == side], "n int, ids array<int>")
         got = some.select(as_padded_text("ids", F.col("n"), side).alias("a"), as_text("ids").alias("b")).collect()
         assert [r.a for r in got] == [r.b for r in got]
+
+
+def test_shuffled_ids_of_any_sign_and_words_exploded_once_for_their_counts(spark):
+    low, high = -(2**31), 2**31 - 1
+    known = {"a": -1, "b": low, "c": high, "d": 0}
+    vocab = checkpoint(spark.createDataFrame(list(known.items()), "tok string, id int"))
+    texts = [" ".join(["a b zz c d"] * 40), "d c b a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "prompt string")
+    got = encode_words(df, vocab, 150, max_inline_bytes=0, frequent_words=2).collect()
+    assert {r.prompt: r.ids for r in got} == {t: [known.get(w, UNK_ID) for w in (t or "").split()[:150]] for t in texts}
+    rows = checkpoint(df.select(arrays.words(F.col("prompt")).alias("_words")))
+    plan = _frequent(rows, vocab, UNK_ID, 2)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Generate explode") == 1
