@@ -1,13 +1,13 @@
-"""Token ids of whole texts by a serialized tokenizer, with a memory of pieces.
-
-Byte-level BPE never joins text across the start of a blank-led word, so a text
-is cut before single blanks and the ids of each piece are remembered. A piece not
-seen before is cut into the words of the tokenizer's own rule, each of which the
-tokenizer's model encodes once. Pieces around runs of blanks are cut only where the
-run starts, which is where that rule cuts as well. Pieces with characters whose
-class could differ between the rule's tables and those of this interpreter go to the
-tokenizer as they are. So do whole texts if the tokenizer has another rule, and texts
-that hold a token added to the vocabulary, which it finds before it looks for words.
+"""Token ids of whole texts by a serialized tokenizer, with a memory of words.
+
+Texts are taken together: their bytes are cut into the words of the tokenizer's own
+rule, Arrow finds the distinct words, each new one is encoded by the tokenizer's model,
+and Arrow puts the ids in the places of the words. Words behind a blank are encoded many
+in a row, as byte-level BPE never joins text across the start of a blank-led word.
+Characters whose class could differ between the rule's tables and those of this
+interpreter are not cut by it: what lies between the blanks around them goes to the
+tokenizer as it is. So do whole texts if the tokenizer has another rule, and texts that
+hold a token added to the vocabulary, which it finds before it looks for words.
 """
 
 from __future__ import annotations
@@ -22,35 +22,96 @@ from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Bytes of the pieces and ids in a worker's memory, about. A full one is emptied, as
-#: frequent pieces are soon back. Only speed depends on it.
-MEMORY_BYTES = 64 << 20
-#: What a remembered piece takes besides its characters and ids.
-ENTRY_BYTES = 190
-#: Longer pieces are encoded each time.
-LONGEST_PIECE = 64
-BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
+#: Bytes of the words and ids in a worker's memory. Of a full one, the words of the texts at
+#: hand are kept. Only speed depends on it.
+MEMORY_BYTES = 8 << 20
+#: Words that the model encodes in one call.
+ROW_WORDS = 64
+#: What stands for a blank in a byte-level vocabulary.
+BLANK = "\u0120"
 #: Characters whose class has long been settled: Latin ones and marks of punctuation.
 SETTLED = "\t\n\r -~\xa1-\u024f\u2010-\u2027\u2030-\u205e"
-
-
-def word_rule() -> re.Pattern:
-    """The words of byte-level BPE in texts of settled characters: endings behind an
-    apostrophe; letters, numbers or marks with or without a blank before them; blanks."""
-    kinds: dict[str, list[str]] = {}
-    for c in map(chr, range(0x2060)):
-        if re.fullmatch(f"[{SETTLED}]", c) and not c.isspace():
-            kinds.setdefault(unicodedata.category(c)[0], []).append(c)
-    letters, numbers = "".join(kinds["L"]), "".join(kinds["N"])
-    return re.compile(
-        rf"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+"
-    )
-
-
-WORD = word_rule()
-ONLY_SETTLED = re.compile(f"[{SETTLED}]*")
+#: Classes of characters; those from ``STRANGE`` on are not settled.
+END, SPACE, WHITE, LETTER, NUMBER, MARK, STRANGE, STRANGE_WHITE = range(8)
+
+
+@lru_cache(maxsize=1)
+def classes() -> np.ndarray:
+    """The class of each character; ``END`` is not among them."""
+    out = np.full(0x110000, STRANGE, dtype=np.uint8)
+    kinds = {"L": LETTER, "N": NUMBER}
+    for at, c in enumerate(map(chr, range(0x3001))):
+        settled = re.fullmatch(f"[{SETTLED}]", c)
+        if c.isspace():
+            out[at] = SPACE if c == " " else WHITE if settled else STRANGE_WHITE
+        elif settled:
+            out[at] = kinds.get(unicodedata.category(c)[0], MARK)
+    return out
+
+
+def classes_of(data: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of valid UTF-8 belongs to."""
+    table = classes()
+    out = table[:256][data]
+    rest = data & 0x3F
+    for first, last, more, bits in ((0xC0, 0xDF, 1, 0x1F), (0xE0, 0xEF, 2, 0x0F), (0xF0, 0xFF, 3, 0x07)):
+        lead = np.flatnonzero((data >= first) & (data <= last))
+        point = (data[lead] & bits).astype(np.int32)
+        for i in range(1, more + 1):
+            point = point << 6 | rest[lead + i]
+        kind = table[point]
+        for i in range(more + 1):
+            out[lead + i] = kind
+    return out
+
+
+def words_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start in the UTF-8 bytes of texts, each with one byte behind it (at ``ends``).
+
+    The rule of byte-level BPE: endings behind an apostrophe; letters, numbers or marks with
+    or without a blank before them; runs of white space, less the last before something
+    visible. Also whether a word is a blank and settled visible characters, and whether it
+    holds characters that are not settled. The bytes behind the texts are words.
+    """
+    kind = classes_of(data)
+    kind[ends] = END
+    before = np.concatenate(([np.uint8(END)], kind[:-1]))
+    after = np.concatenate((kind[1:], [np.uint8(END)]))
+    white, white_before = (kind == SPACE) | (kind == WHITE), (before == SPACE) | (before == WHITE)
+    start = np.where(white, ~white_before | (after >= LETTER), (before != SPACE) & (before != kind))
+    # endings: an apostrophe that starts a word, and the letters behind it
+    marks = np.flatnonzero((data == ord("'")) & start)
+    one, two = (data[np.minimum(marks + i, len(data) - 1)] for i in (1, 2))
+    short = np.isin(one, list(b"stmd"))
+    long = (one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e"))
+    long |= (one == ord("l")) & (two == ord("l"))
+    start[marks[short | long] + 1] = False
+    start[np.concatenate((marks[short] + 2, marks[long] + 3))] = True
+    start[ends] = True
+    start[0] = True
+    start[ends[:-1] + 1] = True
+    strange = np.flatnonzero(kind >= STRANGE)
+    if len(strange):
+        # no cuts but those before blanks that follow something visible
+        cut = (kind == SPACE) & ~white_before & (before != STRANGE_WHITE)
+        cut[ends] = cut[0] = True
+        cut[ends[:-1] + 1] = True
+        at = np.flatnonzero(cut)
+        held = np.zeros(len(at), dtype=bool)
+        held[np.searchsorted(at, strange, "right") - 1] = True
+        inside = np.repeat(held, np.diff(np.append(at, len(data))))
+        start &= cut | ~inside
+        starts = np.flatnonzero(start)
+        odd = inside[starts]
+    else:
+        starts = np.flatnonzero(start)
+        odd = np.zeros(len(starts), dtype=bool)
+    follows = after[starts]
+    return starts, (kind[starts] == SPACE) & (follows >= LETTER) & (follows <= MARK) & ~odd, odd
 
 
 def byte_letters() -> list[str]:
@@ -61,15 +122,15 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)]
 
 
-class Pieces(dict):
-    """Ids by the text behind a piece's leading blank; those not held are asked for."""
+def binaries(ends: np.ndarray, data: bytes | np.ndarray) -> pa.Array:
+    """Values that lie one behind the other in ``data``; ``ends`` begins with 0."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(ends, dtype=np.int64)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers)
 
-    def __init__(self, ask):
-        super().__init__()
-        self.ask = ask
 
-    def __missing__(self, body: str) -> bytes:
-        return self.ask(body)
+def ends_of(values: pa.Array) -> np.ndarray:
+    """Where binaries start in their buffer, and the end of the last."""
+    return np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
 
 
 class Encoder:
@@ -82,98 +143,108 @@ class Encoder:
         self.tokenize = self.model.tokenize
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
+        self.points = np.array([ord(c) for c in self.letters], dtype="<u4")
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
-        words = rules.get("pre_tokenizer") or {}
+        words, model = rules.get("pre_tokenizer") or {}, rules["model"]
         plain = rules.get("normalizer") is None and words.get("type") == "ByteLevel"
         plain = plain and words.get("use_regex", True) and not words.get("add_prefix_space")
         #: whether the model's own words are those of this module
-        self.direct = bool(plain and rules["model"].get("type") == "BPE" and not rules["model"].get("dropout"))
+        self.direct = bool(plain and model.get("type") == "BPE" and not model.get("dropout"))
+        self.direct = self.direct and all(c in model["vocab"] for c in self.letters)
+        if self.direct:
+            byte = {c: b for b, c in enumerate(self.letters)}
+            inside = [t for t in model["vocab"] if BLANK in t[1:] and t.strip(BLANK) and set(t) <= byte.keys()]
+            texts = [bytes(byte[c] for c in t).decode(errors="ignore") for t in inside]
+            #: whether each token with a blank inside also holds what no word in a row does
+            self.in_rows = all(any(classes()[ord(c)] >= STRANGE for c in t) for t in texts)
+            #: whether an id begins with a blank
+            self.led = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+            self.led[[i for t, i in model["vocab"].items() if t[:1] == BLANK]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.memory = Pieces(self._blank_led)
-        #: ids of words without a blank before them
-        self.words: dict[str, bytes] = {}
-        self.held = 0
+        #: words, and their ids in the same order
+        self.words = pa.array([], pa.large_binary())
+        self.memory = pa.array([], pa.large_binary())
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: bytes) -> bytes:
         """Ids of one word by the model alone."""
-        if word.isascii() and word.isprintable():
-            found = self.tokenize(word.replace(" ", "\u0120"))
-        else:
-            letters = self.letters
-            found = self.tokenize("".join([letters[b] for b in word.encode()]))
+        found = self.tokenize("".join([self.letters[b] for b in word]))
         return array("I", [t.id for t in found]).tobytes()
 
-    def _bare(self, word: str) -> bytes:
-        """Ids of one word without a blank before it."""
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self._word(word)
-            if len(word) <= LONGEST_PIECE:
-                self.words[word] = ids
-                self.held += len(word) + len(ids) + ENTRY_BYTES
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece that is not letters alone."""
-        if not ONLY_SETTLED.fullmatch(piece):
-            return self._plain(piece)
-        words = WORD.findall(piece)
-        if len(words) == 1:
-            return self._word(piece)
-        memory, bare = self.memory, self._bare
-        return b"".join([memory[w[1:]] if w[0] == " " else bare(w) for w in words])
-
-    def _blank_led(self, body: str) -> bytes:
-        """Ids of a blank and ``body``, to be remembered. What holds a new piece is
-        likely to be as rare, and is not remembered itself."""
-        if body.isalpha():
-            if body.isascii():
-                ids = array("I", [t.id for t in self.tokenize("\u0120" + body)]).tobytes()
-            else:
-                ids = self._word(" " + body)
-        else:
-            held = self.held
-            ids = self._piece(" " + body)
-            if self.held != held:
-                return ids
-        if len(body) <= LONGEST_PIECE:
-            self.memory[body] = ids
-            self.held += len(body) + len(ids) + ENTRY_BYTES
-        return ids
-
-    def _text(self, text: str) -> bytes:
-        if not self.direct or any(a in text for a in self.added):
-            return self._plain(text)
-        if self.held > MEMORY_BYTES:
-            self.forget()
-        first, bodies = pieces_of(text)
-        if first:
-            first = self.memory[first[1:]] if first[0] == " " else self._piece(first)
-        return b"".join([first or b"", *map(self.memory.__getitem__, bodies)])
+    def _rows(self, words: pa.Array) -> pa.Array:
+        """Ids of words that are a blank and visible characters, many encoded in a row."""
+        ends = ends_of(words)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        spelled = self.points[data].tobytes().decode("utf-32-le")
+        cuts = [*(ends[:-1:ROW_WORDS] - ends[0]).tolist(), len(spelled)]
+        tokenize = self.tokenize
+        ids = np.array([t.id for a, b in zip(cuts, cuts[1:]) for t in tokenize(spelled[a:b])], dtype="<u4")
+        starts = np.flatnonzero(self.led[ids]) if len(ids) else np.empty(0, np.int64)
+        if len(starts) != len(words):
+            raise ValueError("words in a row were not encoded one by one")
+        return binaries(4 * np.append(starts, len(ids)), ids.tobytes())
+
+    def _new(self, words: pa.Array, odd: np.ndarray) -> pa.Array:
+        """Ids of words one by one; ``odd`` ones hold characters that are not settled."""
+        out = []
+        for word, strange in zip(words.to_numpy(zero_copy_only=False), odd.tolist(), strict=True):
+            text = word.decode() if strange else ""
+            out.append(self._plain(text) if text and not text.removeprefix(" ").isalpha() else self._word(word))
+        return pa.array(out, pa.large_binary())
+
+    def _distinct(self, words: pa.Array, row: np.ndarray, odd: np.ndarray) -> pa.Array:
+        """Ids of distinct words, from the memory or encoded now."""
+        at = pc.index_in(words, value_set=self.words)
+        row = row & self.in_rows
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        rows, others = np.flatnonzero(new & row), np.flatnonzero(new & ~row)
+        at[rows] = len(self.words) + np.arange(len(rows))
+        at[others] = len(self.words) + len(rows) + np.arange(len(others))
+        led, rest = words.take(pa.array(rows)), words.take(pa.array(others))
+        known = pa.concat_arrays([self.memory, self._rows(led), self._new(rest, odd[others])])
+        out = known.take(pa.array(at))
+        self.words, self.memory = pa.concat_arrays([self.words, led, rest]), known
+        if self.words.nbytes + self.memory.nbytes > MEMORY_BYTES:
+            self.words, self.memory = words, out
+            if words.nbytes + out.nbytes > MEMORY_BYTES:
+                self.forget()
+        return out
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        parts = [t.encode() for t in texts]
+        ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+        joined = b"\0".join([*parts, b""])
+        starts, row, odd = words_of(np.frombuffer(joined, np.uint8), ends)
+        words = binaries(np.append(starts, len(joined)), joined)
+        # the bytes behind the texts are no words
+        stops = np.searchsorted(starts, ends)
+        keep = np.ones(len(starts), dtype=bool)
+        keep[stops] = False
+        places = words.dictionary_encode()
+        index = places.indices.to_numpy()
+        kinds = np.zeros((2, len(places.dictionary)), dtype=bool)
+        kinds[0, index], kinds[1, index] = row, odd
+        ids = self._distinct(places.dictionary, *kinds).take(pa.array(index[keep]))
+        at = ends_of(ids)[np.concatenate(([0], stops - np.arange(len(stops))))].tolist()
+        view = memoryview(ids.buffers()[2] or b"")
+        return [bytes(view[a:b]) for a, b in zip(at, at[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self._text(t) for t in texts]
-
-
-def pieces_of(text: str) -> tuple[str, list[str]]:
-    """The text cut before blanks that follow a visible character: the first piece, and
-    the others without the blank that leads them."""
-    if "  " in text:
-        first, *pieces = BEFORE_BLANK.split(text)
-        return first, [p[1:] for p in pieces]
-    first, *bodies = text.split(" ")
-    return first, bodies
+        whole = [not self.direct or any(a in t for a in self.added) for t in texts]
+        together = [t for t, alone in zip(texts, whole, strict=True) if not alone]
+        found = iter(self._together(together) if together else ())
+        return [self._plain(t) if alone else next(found) for t, alone in zip(texts, whole, strict=True)]
 
 
 @contextmanager
 def borrowed(path: str) -> Iterator[Encoder]:
-    """The worker's encoder for one task; the pieces it remembers go with the task."""
+    """The worker's encoder for one task; the words it remembers go with the task."""
     one = encoder(path)
     try:
         yield one

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import io
+import json
 import random
 import zlib
 
@@ -48,6 +49,40 @@ def test_random_texts_encode_as_by_the_plain_call(tokenizer):
     assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
 
 
+def test_blanks_and_unsettled_characters_encode_as_by_the_plain_call(tokenizer):
+    rng, encoder = random.Random(7), Encoder(PATH)
+    parts = ["a", "re", "ll", "'", "'s", "'re", "'Ve", "\xdc", " ", " ", "  ", "\n", "\r\n", "!!", "23", "\xb2", "\xa0", " \xa0"]
+    parts += ["\x1c", "\x85", "\u3000", "\u65e5\u672c", "\u0301", "\u01c5", "\u0416", "\x00", "\u200b", "\u2010", "\u0250"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(4000)]
+    assert " \xa0 \xa0" in "".join(texts)
+    assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
+
+
+def test_words_are_encoded_once_and_in_rows(tokenizer):
+    encoder, calls = Encoder(PATH), []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda row: calls.append(row) or tokenize(row)
+    texts = [" one two, three", " two three (\xfcber) one", "  one  two 12"] * 50
+    assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts]
+    # the blank-led ones in one row, then one by one the others, the blank and the byte behind texts
+    assert len(calls) == 6
+    assert encoder.encode(texts) == [little(tokenizer(t)) for t in texts] and len(calls) == 6
+
+
+def test_rows_are_not_used_where_tokens_reach_over_blanks(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        rules = json.load(file)
+    rules["model"]["vocab"]["a\u0120"] = len(rules["model"]["vocab"]) + 1
+    merges = rules["model"]["merges"]
+    merges.insert(0, ["a", "\u0120"] if isinstance(merges[0], list) else "a \u0120")
+    path = str(tmp_path / "reaching.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(rules, file)
+    encoder, plain = Encoder(path), Tokenizer.from_file(path)
+    texts = [" sea tea", "a a a", " a\n a  a"]
+    assert encoder.encode(texts) == [little(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_remembered_pieces_are_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY_BYTES", 10_000)
     encoder = Encoder(PATH)
