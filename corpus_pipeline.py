@@ -50,12 +50,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut from the texts."""
-    found = decontaminate.find_leaks(_wrapped(docs), table(spark, sf_dir, "benchmark"))
-    rest = F.struct("rest", (F.size("spans") > 0).alias("hit")).alias("rest")
-    marked = found.select("doc_id", "text", rest, "spans")
-    freed = decontaminate.remove_leaks(marked.drop("spans"), marked)
-    flat = freed.select("doc_id", "text", "rest.rest", "rest.hit")
-    return _unwrapped(flat, docs.columns, F.col("hit"))
+    freed = decontaminate.cut_leaks(_wrapped(docs), table(spark, sf_dir, "benchmark"))
+    return _unwrapped(freed, docs.columns, F.size("spans") > 0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from loomfeed.llm.common import store
 
 MAX_ROUNDS = 100
+#: Edges of a written file, about. What a round leaves is small against its shuffles.
+FILE_EDGES = 1 << 18
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
             )
         seen = found
-        now = store(_small_star(_large_star(now)), "edges")
+        files = 1 + found[0] // FILE_EDGES
+        now = store(_small_star(_large_star(now)).coalesce(files), "edges")
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 

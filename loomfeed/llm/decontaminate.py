@@ -138,11 +138,33 @@ def find_leaks(
     several blocks, rows are numbered in a written table, the hits of each block
     are written before the next is read, and all are joined by that number.
     """
+    return _search(docs, benchmark, window, item, text, block_bytes, cut=False)
+
+
+def cut_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    item: str = "item_id",
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """What ``find_leaks`` gives, with the hit spans cut out of the text.
+
+    The texts are cut where they are searched: ``remove_leaks`` upon ``find_leaks``
+    in one task would keep a second Python process with as much memory again.
+    """
+    return _search(docs, benchmark, window, item, text, block_bytes, cut=True)
+
+
+def _search(
+    docs: DataFrame, benchmark: DataFrame, window: int, item: str, text: str, block_bytes: int, cut: bool
+) -> DataFrame:
     docs = without(docs, "n_words", "spans", "items")
     given = blocks(benchmark, item, text, block_bytes)
     part, further = next(given), next(given, None)
     if further is None:
-        return _pass(docs, Windows(part, window), text)[0]
+        return _pass(docs, Windows(part, window), text, cut)[0]
     row = unused(docs, "row")
     rows = store(docs.withColumn(row, F.monotonically_increasing_id()), "leak-rows")
     found = None
@@ -161,7 +183,8 @@ def find_leaks(
         )
         .withColumn("spans", _merged(F.col("spans")))
     )
-    return rows.join(joined, row).drop(row)
+    found = rows.join(joined, row).drop(row)
+    return _cut(found, text, found.columns) if cut else found
 
 
 def _merged(spans):
@@ -185,24 +208,26 @@ def _merged(spans):
     )
 
 
-def _pass(docs: DataFrame, windows: Windows, text: str) -> tuple[DataFrame, Broadcast]:
-    """The hits of one block, and what was broadcast for them."""
+def _pass(docs: DataFrame, windows: Windows, text: str, cut: bool = False) -> tuple[DataFrame, Broadcast]:
+    """The hits of one block, cut out of the text on request, and what was broadcast for them."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     names = docs.columns
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        windows = shared.value
-        found = windows.find(raw_texts(batch.column(names.index(text))))
+        windows, place = shared.value, names.index(text)
+        found = windows.find(raw_texts(batch.column(place)))
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         extra = pa.schema([("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
+        spans = [[{"start": a, "stop": b} for a, b in s] for _, s, _ in found]
         added = [
             [n for n, _, _ in found],
-            [[{"start": a, "stop": b} for a, b in s] for _, s, _ in found],
+            spans,
             [sorted({str(windows.items[i]) for i in t if windows.items[i] is not None}) for _, _, t in found],
         ]
-        yield batch_of(
-            pa.schema([*batch.schema, *extra]), [*batch.columns, *added]
-        )
+        columns = list(batch.columns)
+        if cut:
+            columns[place] = _without_spans(columns[place], spans)
+        yield batch_of(pa.schema([*batch.schema, *extra]), [*columns, *added])
 
     return map_arrow(docs, run, with_fields(docs.schema, f"n_words long, spans {SPANS}, items array<string>"), text), shared
 
@@ -229,15 +254,23 @@ def remove_leaks(docs: DataFrame, found: DataFrame, text: str = "text") -> DataF
     """The columns of ``docs`` with the hit spans cut out of the text, but for those
     that ``find_leaks`` replaced."""
     docs = without(docs, "n_words", "spans", "items")
-    names = docs.columns
-    schema = docs.schema
-    place = names.index(text)
+    return _cut(only(found, *docs.columns, "spans"), text, docs.columns)
+
+
+def _cut(found: DataFrame, text: str, names: list[str]) -> DataFrame:
+    """The first columns of ``found``, which are ``names``, with the hit spans cut out of the text."""
+    place, spans = names.index(text), found.columns.index("spans")
+    schema = only(found, *names).schema
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        spans = batch.column(len(names)).to_pylist()
-        texts = [cut_words(t, s) for t, s in zip(batch.column(place).to_pylist(), spans, strict=True)]
         columns = list(batch.columns[: len(names)])
-        columns[place] = pa.array(texts, type=batch.schema.field(place).type)
+        columns[place] = _without_spans(columns[place], batch.column(spans).to_pylist())
         yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[: len(names)]))
 
-    return map_arrow(only(found, *names, "spans"), run, schema, text)
+    return map_arrow(found, run, schema, text)
+
+
+def _without_spans(texts: pa.Array, spans: list) -> pa.Array:
+    if not any(spans):
+        return texts
+    return pa.array([cut_words(t, s) for t, s in zip(texts.to_pylist(), spans, strict=True)], type=texts.type)

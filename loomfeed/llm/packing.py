@@ -113,10 +113,12 @@ def place(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, bucket_rows: i
             dealt[size] += each * times
         sequence += times
     intervals.append((0, 0, whole, 1, sequence))
-    # one row per pattern and class in it: bounded by the number of classes, not by the data
-    table = spark.createDataFrame(
-        intervals, "class int, from_rank long, to_rank long, each long, first_sequence long"
-    )
+    # one row per pattern and class in it: bounded by the number of classes, not by the data;
+    # handed over by Arrow, as rows of Python would start further workers in the executors
+    names = ("class", "from_rank", "to_rank", "each", "first_sequence")
+    kinds = (pa.int32(), *[pa.int64()] * 4)
+    columns = [pa.array(c, k) for c, k in zip(zip(*intervals, strict=True), kinds, strict=True)]
+    table = spark.createDataFrame(pa.table(columns, names=names))
     dealt_rows = ranked.join(
         F.broadcast(table.withColumnRenamed("class", "of")),
         (F.col("class") == F.col("of")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")),

@@ -6,6 +6,7 @@ import pytest
 
 from loomfeed.llm import decontaminate, toxicity
 from loomfeed.llm.fm_index import FMIndex
+from tests.conftest import plan_nodes
 from tests.llm import brute
 
 DOCS = "doc_id long, text string, items string, n_words string"
@@ -52,6 +53,23 @@ def test_leaks_equal_brute_force(spark, block):
             assert cleaned[i] == texts[i]
 
 
+@pytest.mark.parametrize("block", [1, 1 << 24])
+def test_leaks_are_cut_where_they_are_found(spark, block):
+    words = "one two three four five six seven eight nine ten"
+    rows = [(1, f"A. {words}, end", "c", "d"), (1, f"A. {words}, end", "c", "d"), (2, None, "c", "d"), (None, "é no", "c", "d")]
+    rows += [(3, words, "c", "d"), (4, "", "c", "d"), (5, f"{words} one two three", "c", "d"), (6, "x y z", None, "d")]
+    docs = spark.createDataFrame(rows, DOCS)
+    bench = spark.createDataFrame([(1, words, "z"), (2, "x y z", "z"), (3, None, "z")], ITEMS)
+    found = decontaminate.find_leaks(docs, bench, block_bytes=block)
+    cut = decontaminate.cut_leaks(docs, bench, block_bytes=block)
+    assert cut.dtypes == found.dtypes
+    assert sorted(map(repr, cut.drop("text").collect())) == sorted(map(repr, found.drop("text").collect()))
+    freed = decontaminate.remove_leaks(docs, found).select("doc_id", "text")
+    assert sorted(map(repr, cut.select("doc_id", "text").collect())) == sorted(map(repr, freed.collect()))
+    # a task of the pipeline's stage keeps one Python process
+    assert [name for name, _ in plan_nodes(cut)].count("MapInArrow") == 1
+
+
 def test_leaks_of_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b", "", "")], DOCS), spark.createDataFrame([], ITEMS)
     docs = docs.select("doc_id", "text")

@@ -47,6 +47,21 @@ def test_components_of_a_long_chain(spark):
     assert found == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
 
 
+def test_rounds_of_components_write_no_more_files_than_their_edges_need(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components(edges)
+        assert len(found.inputFiles()) == 1
+        monkeypatch.setattr("loomfeed.llm.components.FILE_EDGES", 20)
+        more = components(edges)
+        assert len(more.inputFiles()) == 4
+        assert sorted(found.collect()) == sorted(more.collect()) == [(i, 0) for i in range(61)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_near_duplicates_of_unusual_rows(spark):
     rng = random.Random(3)
     text = prose(rng, 200)

@@ -1,7 +1,8 @@
 import corpus_pipeline
-from loomfeed.llm import toxicity
+from loomfeed.llm import packing, toxicity
 from loomfeed.llm.common import store
 from loomfeed.llm.queries import QUERIES
+from tests.conftest import node_names, plan_nodes
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -50,5 +51,14 @@ def test_stages_keep_unusual_rows(spark):
     assert empty.count() == 0
 
 
+def test_stages_keep_one_python_process_a_task(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    nodes = [name for name, _ in plan_nodes(corpus_pipeline.cut_leaks(spark, docs, FOLDER))]
+    assert nodes.count("MapInArrow") == 1
+    # rows that the driver makes don't pass through Python workers
+    rows = spark.createDataFrame([(1, 0, 5), (2, 0, 1024), (3, 0, 9)], "row long, start long, length long")
+    assert "LogicalRDD" not in node_names(packing.place(store(rows, "cut")))
+
+
 def test_every_operator_has_its_query():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
